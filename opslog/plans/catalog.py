@@ -1,3 +1,4 @@
 """Import every query module so the registry is complete."""
 
 from opslog.plans import catalog_core  # noqa: F401
+from opslog.plans import catalog_seq  # noqa: F401

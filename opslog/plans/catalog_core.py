@@ -546,9 +546,10 @@ def i8(spark, d):
     return c.select("conv_id", "turn", F.posexplode(fmt.wrap("text", 100)).alias("line_no", "line"))
 
 
-@query("i9_symbol", """
+@query("i9_symbol", f"""
 SELECT event_id, event_type, event_type AS kind_symbol,
-       CASE WHEN event_type <> 'error' THEN '👍' ELSE '❌' END AS outcome_symbol FROM events
+       CASE WHEN event_type <> 'error' THEN '{fmt.sym("success")}' ELSE '{fmt.sym("failure")}' END AS outcome_symbol
+FROM events
 """)
 def i9(spark, d):
     ev = B.table(spark, d, "events")
