@@ -20,7 +20,11 @@ ARCHIVE_EXT = "rar"
 
 
 def entry_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = B.entries(spark, sf_dir)
+    return facts_from(B.entries(spark, sf_dir))
+
+
+def facts_from(e: DataFrame) -> DataFrame:
+    """Per-row measures over an ``entries``-shaped DataFrame (batch or stream)."""
     success = M.proc_success("exc", "exitcode", "directory", "started", "completed")
     elapsed = M.elapsed_us("started", "completed", "archive")
     return e.select(

@@ -23,8 +23,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # --- entries: one archive / process row per line item --------------------------------------
 
-def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+def entries(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem") if lineitem is None else lineitem
     o = table(spark, sf_dir, "orders")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     rf, ls = F.col("l_returnflag"), F.col("l_linestatus")
