@@ -41,20 +41,14 @@ def one_decimal(major, minor) -> Column:
 
 def _scaled(n: Column, units: list[str], cap_unit: str, base_suffix: str) -> Column:
     # units[0] is the first scaled unit (KB / KB/s); each step divides by 1024.
-    expr = F.concat(n.cast("string"), F.lit(base_suffix))
-    levels = []
-    for i, unit in enumerate(units, start=1):
-        major = floor_div(n, KIB ** i)
-        minor = floor_div(n, KIB ** (i - 1))
-        levels.append((i, unit, major, minor))
+    # Scaled branches only see n >= 1024, so plain ``div`` / ``pmod`` are exact.
     out = None
-    for i, unit, major, minor in reversed(levels):
-        text = F.concat(one_decimal(major, minor), F.lit(" " + unit))
-        if out is None:
-            out = text
-        else:
-            out = F.when(n < F.lit(KIB ** (i + 1)), text).otherwise(out)
-    return F.when(n.isNull(), F.lit(None).cast("string")).when(n < KIB, expr).otherwise(out)
+    for i in range(len(units), 0, -1):
+        major = idiv(n, KIB ** i)
+        digit = idiv(F.pmod(idiv(n, KIB ** (i - 1)), F.lit(KIB)) * 10, KIB)
+        text = F.concat(major.cast("string"), F.lit("."), digit.cast("string"), F.lit(" " + units[i - 1]))
+        out = text if out is None else F.when(n < F.lit(KIB ** (i + 1)), text).otherwise(out)
+    return F.when(n < KIB, F.concat(n.cast("string"), F.lit(base_suffix))).otherwise(out)
 
 
 def fmt_size(col) -> Column:
@@ -81,11 +75,12 @@ def fmt_duration(us) -> Column:
     dropped and an all-zero span reads ``< 01s``.
     """
     u = _c(us).cast("bigint")
-    d = floor_div(u, US_PER_D)
-    rem = u - d * F.lit(US_PER_D)
-    h = idiv(rem, US_PER_H)
-    m = idiv(F.pmod(rem, F.lit(US_PER_H)), US_PER_M)
-    s = F.bround(F.pmod(rem, F.lit(US_PER_M)).cast("double") / F.lit(float(US_PER_S)), 0).cast("bigint")
+    # every unit straight from u (no chain of dependent sub-expressions): floor
+    # division for days, then remainders, which pmod keeps non-negative
+    d = idiv(u - F.pmod(u, F.lit(US_PER_D)), US_PER_D)
+    h = idiv(F.pmod(u, F.lit(US_PER_D)), US_PER_H)
+    m = idiv(F.pmod(u, F.lit(US_PER_H)), US_PER_M)
+    s = F.bround(F.pmod(u, F.lit(US_PER_M)).cast("double") / F.lit(float(US_PER_S)), 0).cast("bigint")
 
     def two(x):
         return F.lpad(x.cast("string"), 2, "0")
@@ -165,17 +160,17 @@ def fmt_progress(col) -> Column:
     return _c(col).cast("bigint").cast("string")
 
 
-# Whitespace as Python's str.strip() sees it (ASCII controls 0x1c-0x1f included).
-_WS = r"[\s\x1c-\x1f]"
+# Whitespace as Python's str.strip() sees it, derived from str.isspace (BMP scan).
+WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 
 
 def strip(col) -> Column:
-    """Remove leading and trailing whitespace (Spark ``trim`` removes spaces only)."""
-    return F.regexp_replace(_c(col), rf"(?U)^{_WS}+|{_WS}+$", "")
+    """Remove leading and trailing whitespace (Spark ``trim`` alone removes spaces only)."""
+    return F.btrim(_c(col), F.lit(WHITESPACE))
 
 
 def rstrip(col) -> Column:
-    return F.regexp_replace(_c(col), rf"(?U){_WS}+$", "")
+    return F.rtrim(_c(col), F.lit(WHITESPACE))
 
 
 def pad_left(col, width) -> Column:

@@ -22,7 +22,7 @@ def expand_home(col, home: str) -> Column:
 
 def base_name(col) -> Column:
     """Last path component; trailing slashes are ignored."""
-    return F.element_at(F.split(F.regexp_replace(_c(col), "/+$", ""), "/"), -1)
+    return F.substring_index(F.rtrim(_c(col), F.lit("/")), "/", -1)
 
 
 def dir_name(col) -> Column:

@@ -171,6 +171,9 @@ class ShardSource(DataSource):
         return ShardWriter(self.options)
 
 
+SHARD_SALT = 16
+
+
 def archive_shards(df: DataFrame, name_col: str, data_col: str, dest: str, kind: str = "tar",
                    codec: str | None = "gz", group_col: str | None = None) -> DataFrame:
     """A4: pack rows into archive shards in parallel; returns the shard manifest."""
@@ -178,7 +181,9 @@ def archive_shards(df: DataFrame, name_col: str, data_col: str, dest: str, kind:
     spark.dataSource.register(ShardSource)
     data = df
     if group_col:
-        data = df.repartition(group_col)
+        # group plus a hash of the entry name: a hot group is spread over
+        # ``SHARD_SALT`` tasks (one shard each) instead of landing in one task
+        data = df.repartition(group_col, F.pmod(F.xxhash64(name_col), F.lit(SHARD_SALT)))
     w = (data.write.format("opslog_shards").mode("append").option("path", dest).option("kind", kind)
          .option("name_col", name_col).option("data_col", data_col))
     if codec:
