@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opslog.functions.paths import base_name, dir_name
+from opslog.operators.scan import ordered_scan
 
 # File names that mark a service directory.
 COMPOSE_FILES = ["compose.yml", "compose.yaml", "docker-compose.yml", "docker-compose.yaml"]
@@ -68,17 +69,14 @@ def free_slot(requests: DataFrame, existing: DataFrame, base_col: str = "base",
     requests and existing slots together, so no candidate list is generated.
     """
     ex = existing.select(base_col, F.col(slot_col).cast("bigint").alias("_e")).distinct()
-    wj = Window.partitionBy(base_col).orderBy("_e")
-    ex = ex.withColumn("_g", F.col("_e") - (F.row_number().over(wj) - 1))
-    wr = Window.partitionBy(base_col).orderBy(*order_cols)
-    req = requests.withColumn("_r", (F.row_number().over(wr) - 1).cast("bigint"))
+    ex = ordered_scan(ex, base_col, "_e", rn_col="_j0").withColumn("_g", F.col("_e") - (F.col("_j0") - 1))
+    req = ordered_scan(requests, base_col, list(order_cols), rn_col="_r0").withColumn("_r", F.col("_r0") - 1)
     # events sorted by (position, kind): an existing slot with g_j <= r precedes request r
     evs = (ex.select(base_col, F.col("_g").alias("_pos"), F.lit(0).alias("_kind"), F.lit(1).alias("_cnt"))
            .unionByName(req.select(base_col, F.col("_r").alias("_pos"), F.lit(1).alias("_kind"),
                                    F.lit(0).alias("_cnt"))))
-    w = Window.partitionBy(base_col).orderBy("_pos", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    counted = evs.withColumn("_j", F.sum("_cnt").over(w)).where(F.col("_kind") == 1) \
-                 .select(base_col, F.col("_pos").alias("_r"), "_j")
+    counted = (ordered_scan(evs, base_col, ["_pos", "_kind"], value="_cnt", cum_col="_j")
+               .where(F.col("_kind") == 1).select(base_col, F.col("_pos").alias("_r"), "_j"))
     return (req.join(counted, [base_col, "_r"])
             .withColumn(slot_col, (F.col("_r") + F.col("_j")).cast("bigint"))
-            .drop("_r", "_j"))
+            .drop("_r", "_r0", "_j"))

@@ -3,9 +3,9 @@
 Whole-group facts (first failure, group size, first timestamp) are computed
 with ``groupBy`` + join rather than a window over the whole group: the
 aggregate combines map-side and the join back is split by AQE when one key
-is hot.  Running positions (row numbers, running byte totals) need an
-ordered window; those windows sort within a task and spill, so they stay
-correct at any group size.
+is hot.  Running positions (row numbers, running byte totals) come from
+``ordered_scan``, which range-partitions on (key, order) so a hot key is
+spread over many tasks instead of one window task.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from opslog.operators.scan import ordered_scan
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -44,16 +46,15 @@ def with_group_size(df: DataFrame, key, out: str = "_n") -> DataFrame:
 
 def index_of_total(df: DataFrame, key, order, out: str = "label") -> DataFrame:
     """``[i/n]`` labels, 1-based, in sort order within each group."""
-    d = with_group_size(df, key)
-    rn = F.row_number().over(_ordered(key, order))
-    return d.withColumn(out, F.concat(F.lit("["), rn.cast("string"), F.lit("/"), F.col("_n").cast("string"),
-                                      F.lit("]"))).drop("_n")
+    d = ordered_scan(with_group_size(df, key), key, order, rn_col="_i")
+    return d.withColumn(out, F.concat(F.lit("["), F.col("_i").cast("string"), F.lit("/"),
+                                      F.col("_n").cast("string"), F.lit("]"))).drop("_n", "_i")
 
 
 def arrival_index(df: DataFrame, key, order, out: str = "label") -> DataFrame:
     """0-based arrival number with at least two digits and a dot (``00. ``)."""
-    rn = F.row_number().over(_ordered(key, order)) - 1
-    return df.withColumn(out, F.concat(F.format_string("%02d", rn), F.lit(". ")))
+    d = ordered_scan(df, key, order, rn_col="_i")
+    return d.withColumn(out, F.concat(F.format_string("%02d", F.col("_i") - 1), F.lit(". "))).drop("_i")
 
 
 def list_labels(df: DataFrame, key, order, style: str | None = "number", out: str = "label") -> DataFrame:
@@ -62,10 +63,9 @@ def list_labels(df: DataFrame, key, order, style: str | None = "number", out: st
         return df.withColumn(out, F.lit("- "))
     if style != "number":
         return df.withColumn(out, F.lit(""))
-    d = with_group_size(df, key)
-    rn = F.row_number().over(_ordered(key, order))
-    num = F.when(F.col("_n") < 10, rn.cast("string")).otherwise(F.format_string("%02d", rn))
-    return d.withColumn(out, F.concat(num, F.lit(". "))).drop("_n")
+    d = ordered_scan(with_group_size(df, key), key, order, rn_col="_i")
+    num = F.when(F.col("_n") < 10, F.col("_i").cast("string")).otherwise(F.format_string("%02d", F.col("_i")))
+    return d.withColumn(out, F.concat(num, F.lit(". "))).drop("_n", "_i")
 
 
 # --- G5-G7: upload progress -------------------------------------------------------------------
@@ -73,9 +73,7 @@ def list_labels(df: DataFrame, key, order, style: str | None = "number", out: st
 def cumulative_pct(chunks: DataFrame, file: str = "file", seq: str = "seq", nbytes: str = "bytes",
                    filesize: str = "filesize") -> DataFrame:
     """Running uploaded bytes and ``min(int(uploaded / size * 100), 100)`` (double arithmetic)."""
-    w = Window.partitionBy(file).orderBy(seq).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    up = F.sum(nbytes).over(w).cast("bigint")
-    d = chunks.withColumn("uploaded", up)
+    d = ordered_scan(chunks, file, seq, value=nbytes, rn_col="_i", cum_col="uploaded").drop("_i")
     pct = F.least((F.col("uploaded") / F.col(filesize) * 100).cast("int"), F.lit(100))
     return d.withColumn("pct", pct)
 

@@ -97,3 +97,15 @@ def test_split_outcome_partitions_input(spark):
     ok, failed = S.split_outcome(df)
     assert sorted(r.id for r in ok.collect()) == [1]
     assert sorted(r.id for r in failed.collect()) == [2, 3]
+
+
+def test_ordered_scan_range_equals_window(spark):
+    from opslog.operators.scan import ordered_scan
+    # one hot key with most rows, plus small keys; range strategy over many partitions
+    rows = [(0 if i % 10 else 1 + i % 7, i, i % 13) for i in range(5000)]
+    df = spark.createDataFrame(rows, "k long, s long, v long")
+    a = ordered_scan(df, "k", "s", value="v", rn_col="rn", cum_col="cum", strategy="range", num_partitions=16)
+    b = ordered_scan(df, "k", "s", value="v", rn_col="rn", cum_col="cum", strategy="window")
+    ga = sorted((r.k, r.s, r.rn, r.cum) for r in a.collect())
+    gb = sorted((r.k, r.s, r.rn, r.cum) for r in b.collect())
+    assert ga == gb and len(ga) == 5000
