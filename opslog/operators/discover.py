@@ -9,11 +9,11 @@ an anti-join drops them.  All joins are equi-joins on path strings.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opslog.functions.paths import base_name, dir_name
-from opslog.operators.scan import ordered_scan
+from opslog.operators.scan import HOT_KEY_ROWS, ordered_scan
 
 # File names that mark a service directory.
 COMPOSE_FILES = ["compose.yml", "compose.yaml", "docker-compose.yml", "docker-compose.yaml"]
@@ -59,7 +59,7 @@ def backup_upload_join(archives: DataFrame, uploads: DataFrame, key: str = "arch
 
 
 def free_slot(requests: DataFrame, existing: DataFrame, base_col: str = "base", order_cols=("seq",),
-              slot_col: str = "slot") -> DataFrame:
+              slot_col: str = "slot", strategy: str = "auto") -> DataFrame:
     """The k-th request for a base gets the k-th unused slot number (0 = the base itself).
 
     Existing slots are ``(base, slot)`` rows.  With existing slots e_1 < e_2 < ...
@@ -69,13 +69,17 @@ def free_slot(requests: DataFrame, existing: DataFrame, base_col: str = "base",
     requests and existing slots together, so no candidate list is generated.
     """
     ex = existing.select(base_col, F.col(slot_col).cast("bigint").alias("_e")).distinct()
-    ex = ordered_scan(ex, base_col, "_e", rn_col="_j0").withColumn("_g", F.col("_e") - (F.col("_j0") - 1))
-    req = ordered_scan(requests, base_col, list(order_cols), rn_col="_r0").withColumn("_r", F.col("_r0") - 1)
+    if strategy == "auto":  # one decision for the three scans: is any base hot?
+        sizes = requests.groupBy(base_col).count().unionByName(ex.groupBy(base_col).count())
+        biggest = sizes.groupBy(base_col).agg(F.sum("count").alias("n")).agg(F.max("n")).first()[0] or 0
+        strategy = "window" if biggest <= HOT_KEY_ROWS else "range"
+    ex = ordered_scan(ex, base_col, "_e", rn_col="_j0", strategy=strategy).withColumn("_g", F.col("_e") - (F.col("_j0") - 1))
+    req = ordered_scan(requests, base_col, list(order_cols), rn_col="_r0", strategy=strategy).withColumn("_r", F.col("_r0") - 1)
     # events sorted by (position, kind): an existing slot with g_j <= r precedes request r
     evs = (ex.select(base_col, F.col("_g").alias("_pos"), F.lit(0).alias("_kind"), F.lit(1).alias("_cnt"))
            .unionByName(req.select(base_col, F.col("_r").alias("_pos"), F.lit(1).alias("_kind"),
                                    F.lit(0).alias("_cnt"))))
-    counted = (ordered_scan(evs, base_col, ["_pos", "_kind"], value="_cnt", cum_col="_j")
+    counted = (ordered_scan(evs, base_col, ["_pos", "_kind"], value="_cnt", cum_col="_j", strategy=strategy)
                .where(F.col("_kind") == 1).select(base_col, F.col("_pos").alias("_r"), "_j"))
     return (req.join(counted, [base_col, "_r"])
             .withColumn(slot_col, (F.col("_r") + F.col("_j")).cast("bigint"))

@@ -87,3 +87,10 @@ def test_map_overlay_keeps_dict_order(spark):
                   map_overlay("base", F.lit(None).cast("map<string,string>")).alias("n")).first()
     assert [(e.key, e.value) for e in r.m] == [("Destination", "/b"), ("Upload", "aws"), ("S3 Bucket", "x")]
     assert r.n == {"Destination": "/b", "Upload": "false"}
+
+
+def test_free_slot_range_strategy(spark):
+    ex = spark.createDataFrame([("b", 0), ("b", 1), ("b", 3)], "base string, slot long")
+    req = spark.createDataFrame([("b", i) for i in range(4)] + [("c", 0)], "base string, seq long")
+    got = sorted((r.base, r.seq, r.slot) for r in free_slot(req, ex, strategy="range").collect())
+    assert got == [("b", 0, 2), ("b", 1, 4), ("b", 2, 5), ("b", 3, 6), ("c", 0, 0)]
