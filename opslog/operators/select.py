@@ -1,12 +1,12 @@
 """Selecting rows by glob selectors and by outcome (operators C2-C6).
 
-Selectors held as data (C3) are matched with a theta join.  Plain-text
-selectors go through an equi-join (hash or broadcast, Catalyst decides);
-real globs are compiled to regexes and matched by a broadcast nested-loop
-semi join.  The glob side is broadcast only in chunks of at most
-``max_broadcast`` patterns, so the broadcast never grows with the data:
-the rows still unmatched after one chunk are passed to the next one, which
-keeps every row at most once without a distinct.
+Selectors held as data (C3) are matched with a theta join split into routes:
+plain-text selectors go through an equi-join (hash or broadcast, Catalyst
+decides); globs with a literal prefix are equi-joined on the first one to
+three characters of the name, with the compiled regex as a residual
+condition; only globs starting with a wildcard need a nested-loop join, and
+those are broadcast in chunks of at most ``max_broadcast`` selectors (a
+counted size), so no broadcast grows with the data.
 """
 
 from __future__ import annotations
@@ -38,17 +38,23 @@ def select_by_globs(df: DataFrame, name_col: str, patterns: list[str], sort: boo
     return out.orderBy(name_col) if sort else out
 
 
+# Globs with a literal prefix are equi-joined on up to this many leading characters.
+PREFIX_KEY_MAX = 3
+
+
 def _compiled(patterns: DataFrame, pattern_col: str) -> DataFrame:
+    lp = F.regexp_extract(F.col(pattern_col), r"^([^*?\[]*)", 1)
     return patterns.select(
         "*",
         is_plain(pattern_col).alias("_plain"),
         glob_regex(F.col(pattern_col)).alias("_regex"),
+        F.least(F.length(lp), F.lit(PREFIX_KEY_MAX)).alias("_plen"),
+        F.substring(lp, 1, PREFIX_KEY_MAX).alias("_lp"),
     )
 
 
-def _chunks(glob_pats: DataFrame, max_broadcast: int) -> list[DataFrame]:
-    """Split the glob selectors into broadcastable chunks (size checked by a count)."""
-    n = glob_pats.count()
+def _chunks(glob_pats: DataFrame, n: int, max_broadcast: int) -> list[DataFrame]:
+    """Split leading-wildcard selectors into broadcastable chunks (``n`` is their counted size)."""
     if n == 0:
         return []
     if n <= max_broadcast:
@@ -58,46 +64,54 @@ def _chunks(glob_pats: DataFrame, max_broadcast: int) -> list[DataFrame]:
     return [keyed.where(F.col("_chunk") == i).drop("_chunk") for i in range(n_chunks)]
 
 
+def _glob_branches(names: DataFrame, name_col: str, comp: DataFrame, how: str, max_broadcast: int):
+    """One join per matching route: exact names, prefix-keyed globs (by key length), and
+    leading-wildcard globs in size-checked broadcast chunks."""
+    name = F.col(name_col)
+    counts = {r["_plen"]: r["n"] for r in
+              comp.where(~F.col("_plain")).groupBy("_plen").agg(F.count(F.lit(1)).alias("n")).collect()}
+    out = [names.join(comp.where("_plain"), name == F.col("_pattern"), how)]
+    for length in range(1, PREFIX_KEY_MAX + 1):
+        if counts.get(length, 0) == 0:
+            continue
+        branch = comp.where(~F.col("_plain") & (F.col("_plen") == length))
+        cond = (F.substring(name, 1, length) == F.substring(F.col("_lp"), 1, length)) & \
+            F.regexp_like(name, F.col("_regex"))
+        out.append(names.join(branch, cond, how))
+    for ch in _chunks(comp.where(~F.col("_plain") & (F.col("_plen") == 0)), counts.get(0, 0), max_broadcast):
+        out.append(names.join(F.broadcast(ch), F.regexp_like(name, F.col("_regex")), how))
+    return out
+
+
 def select_by_glob_table(df: DataFrame, name_col: str, patterns: DataFrame, pattern_col: str = "pattern",
                          max_broadcast: int = DEFAULT_MAX_BROADCAST) -> DataFrame:
     """Rows matched by any selector held in ``patterns``; each row at most once.
 
+    Matching runs on the distinct names; the rows are then kept by one equi
+    semi-join, so a row matched by several selectors is still returned once.
     An empty selector table selects everything, as an empty selector list does.
     """
-    comp = _compiled(patterns.select(pattern_col).where(F.col(pattern_col).isNotNull()).distinct(), pattern_col)
-    comp = comp.cache()
+    sel = patterns.select(F.col(pattern_col).alias("_pattern")).where(F.col("_pattern").isNotNull()).distinct()
+    comp = _compiled(sel, "_pattern").cache()
     if comp.isEmpty():
         return df
-    plain = comp.where("_plain").select(F.col(pattern_col).alias("_lit"))
-    globs = comp.where(~F.col("_plain")).select("_regex")
-    chunks = _chunks(globs, max_broadcast)
-    name = F.col(name_col)
-    hit = df.join(plain, name == F.col("_lit"), "left_semi")
-    rest = df.join(plain, name == F.col("_lit"), "left_anti")
-    parts = [hit]
-    for ch in chunks:
-        b = F.broadcast(ch)
-        cond = F.regexp_like(name, F.col("_regex"))
-        parts.append(rest.join(b, cond, "left_semi"))
-        rest = rest.join(b, cond, "left_anti")
-    out = parts[0]
+    names = df.select(F.col(name_col).alias("_name")).where(F.col("_name").isNotNull()).distinct()
+    parts = _glob_branches(names, "_name", comp, "left_semi", max_broadcast)
+    matched = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        matched = matched.unionByName(p)
+    return df.join(matched.distinct(), F.col(name_col) == F.col("_name"), "left_semi")
 
 
 def glob_pairs(names: DataFrame, name_col: str, patterns: DataFrame, pattern_col: str = "pattern",
                max_broadcast: int = DEFAULT_MAX_BROADCAST) -> DataFrame:
     """Every (name row, selector row) pair where the selector matches the name (theta inner join)."""
-    comp = _compiled(patterns, pattern_col).cache()
-    plain = comp.where("_plain")
-    globs = comp.where(~F.col("_plain"))
-    name = F.col(name_col)
+    comp = _compiled(patterns.withColumn("_pattern", F.col(pattern_col)), "_pattern").cache()
     cols = names.columns + [c for c in patterns.columns if c not in names.columns]
-    out = names.join(plain, name == F.col(pattern_col)).select(*cols)
-    for ch in _chunks(globs, max_broadcast):
-        out = out.unionByName(
-            names.join(F.broadcast(ch), F.regexp_like(name, F.col("_regex"))).select(*cols))
+    parts = [p.select(*cols) for p in _glob_branches(names, name_col, comp, "inner", max_broadcast)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     return out
 
 

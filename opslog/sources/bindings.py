@@ -95,16 +95,17 @@ FROM events
 # --- paths: a file listing with markers at two depths ----------------------------------------
 
 def paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One scan of ``pages``: each page yields its path plus, for some pages, marker files."""
     url = F.col("url")
     path = F.split_part(F.split_part(F.split_part(url, F.lit("://"), F.lit(2)), F.lit("?"), F.lit(1)),
                         F.lit("#"), F.lit(1))
     p = table(spark, sf_dir, "pages").select("page_id", path.alias("path"))
     part1 = F.split_part(F.col("path"), F.lit("/"), F.lit(1))
     part2 = F.split_part(F.col("path"), F.lit("/"), F.lit(2))
-    deep = p.where(F.col("page_id") % 3 == 0).select(
-        F.concat(part1, F.lit("/"), part2, F.lit("/compose.yml")).alias("path"))
-    top = p.where(F.col("page_id") % 10 == 0).select(F.concat(part1, F.lit("/compose.yaml")).alias("path"))
-    return p.select("path").union(deep).union(top).distinct()
+    deep = F.when(F.col("page_id") % 3 == 0, F.concat(part1, F.lit("/"), part2, F.lit("/compose.yml")))
+    top = F.when(F.col("page_id") % 10 == 0, F.concat(part1, F.lit("/compose.yaml")))
+    every = p.select(F.explode(F.array(F.col("path"), deep, top)).alias("path"))
+    return every.where(F.col("path").isNotNull()).distinct()
 
 
 PATHS_SQL = """
