@@ -17,8 +17,30 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+# A file of at least this size is worth spreading over every core.
+SPREAD_MIN_BYTES = 8 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """Read one table.
+
+    Parquet splits no finer than its row groups, so a sizeable file written with
+    few row groups scans in fewer tasks than there are cores.  Only in that case
+    (a local file of at least ``SPREAD_MIN_BYTES`` yielding fewer partitions than
+    the default parallelism) one round-robin repartition spreads the rows; a large
+    dataset already scans in many more partitions than cores and is left alone.
+    """
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    df = spark.read.parquet(path)
+    try:
+        size = os.path.getsize(path) if os.path.isfile(path) else 0
+    except OSError:
+        size = 0
+    if size >= SPREAD_MIN_BYTES:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+    return df
 
 
 # --- entries: one archive / process row per line item --------------------------------------
