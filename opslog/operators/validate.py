@@ -123,9 +123,16 @@ ARCHIVE_PROFILE = RecordSchema(
 )
 
 
+def tag_valid(df: DataFrame, js_col: str, schema: RecordSchema) -> DataFrame:
+    """Every record with its sorted ``reasons`` (empty when valid), in one pass."""
+    # parse once into a column; every rule then reads the map instead of re-parsing the text
+    parsed = df.withColumn("_m", as_map(js_col))
+    m = F.col("_m")
+    r = F.when(m.isNull(), F.array(F.lit("not-an-object"))).otherwise(schema.reasons(m))
+    return parsed.withColumn("reasons", r).drop("_m")
+
+
 def split_valid(df: DataFrame, js_col: str, schema: RecordSchema) -> tuple[DataFrame, DataFrame]:
     """K7: (valid rows, rejected rows with ``reasons``)."""
-    m = as_map(js_col)
-    r = F.when(m.isNull(), F.array(F.lit("not-an-object"))).otherwise(schema.reasons(m))
-    tagged = df.withColumn("reasons", r)
+    tagged = tag_valid(df, js_col, schema)
     return tagged.where(F.size("reasons") == 0).drop("reasons"), tagged.where(F.size("reasons") > 0)

@@ -378,10 +378,8 @@ SELECT id, len(r) = 0 AS valid, array_to_string(r, ';') AS reasons
 FROM (SELECT id, list_sort({_MISSING} || {_UNEXPECTED} || {_ENUM} || {_TYPE_C} || {_TYPE_R} || {_RANGE_C}
                            || {_RANGE_R} || {_EMPTY_P}) AS r FROM rf) t"""))
 def k7(spark, d):
-    valid, rejects = K.split_valid(B.records(spark, d), "js", K.ARCHIVE_PROFILE)
-    return (valid.select("id", F.lit(True).alias("valid"), F.lit("").alias("reasons"))
-            .unionByName(rejects.select("id", F.lit(False).alias("valid"),
-                                        F.array_join("reasons", ";").alias("reasons"))))
+    tagged = K.tag_valid(B.records(spark, d), "js", K.ARCHIVE_PROFILE)
+    return tagged.select("id", (F.size("reasons") == 0).alias("valid"), F.array_join("reasons", ";").alias("reasons"))
 
 
 # --------------------------------------------------------------------------------------------
