@@ -222,7 +222,7 @@ LEFT JOIN (SELECT name, p.provider AS provider, p.compress AS compress
   ON r.name = c.name
 LEFT JOIN (VALUES ('rar', 'rar', '3'), ('tar', 'tar', 'xz'), ('zip', 'zip', 'xz')) df(name, provider, compress)
   ON r.name = df.name""", records=B.RECORDS_SQL,
-    req="SELECT DISTINCT p_name AS name FROM part WHERE p_size < 5 "
+    req="SELECT DISTINCT p_name AS name FROM part "
         "UNION SELECT * FROM (VALUES ('rar'), ('tar'), ('zip'), ('nothing')) v(name)"))
 def d2(spark, d):
     m = K.as_map("js")
@@ -231,8 +231,7 @@ def d2(spark, d):
         F.try_element_at(m, F.lit("provider")).alias("provider"), F.try_element_at(m, F.lit("compress")).alias("compress"))
     defaults = spark.createDataFrame(DEFAULT_PROFILES, "name string, provider string, compress string")
     extra = spark.createDataFrame([(x,) for x in EXTRA_REQUESTS], "name string")
-    req = (B.table(spark, d, "part").where(F.col("p_size") < 5).select(F.col("p_name").alias("name"))
-           .union(extra).distinct())
+    req = B.table(spark, d, "part").select(F.col("p_name").alias("name")).union(extra).distinct()
     out = profile_lookup(req, custom, defaults)
     return out.select("name", F.col("profile.provider").alias("provider"),
                       F.col("profile.compress").alias("compress"), "source")
