@@ -64,21 +64,33 @@ def _chunks(glob_pats: DataFrame, n: int, max_broadcast: int) -> list[DataFrame]
     return [keyed.where(F.col("_chunk") == i).drop("_chunk") for i in range(n_chunks)]
 
 
+def _name_keys(name: Column) -> Column:
+    """Join keys of a name: its distinct 1..PREFIX_KEY_MAX-character prefixes and the name itself."""
+    return F.array_distinct(F.array(*[F.substring(name, 1, n) for n in range(1, PREFIX_KEY_MAX + 1)], name))
+
+
 def _glob_branches(names: DataFrame, name_col: str, comp: DataFrame, how: str, max_broadcast: int):
-    """One join per matching route: exact names, prefix-keyed globs (by key length), and
-    leading-wildcard globs in size-checked broadcast chunks."""
+    """Two matching routes.
+
+    * Selectors that start with literal text (plain names included) are keyed by
+      that text cut to ``PREFIX_KEY_MAX`` characters (a plain name by its whole
+      text); each name is exploded into its short prefixes and itself, and one
+      equi-join on the key with the anchored regex as residual condition does
+      the matching.
+    * Selectors that start with a wildcard have no key; they are matched by a
+      broadcast nested-loop join in chunks of at most ``max_broadcast``
+      (a counted size).
+    """
     name = F.col(name_col)
-    counts = {r["_plen"]: r["n"] for r in
-              comp.where(~F.col("_plain")).groupBy("_plen").agg(F.count(F.lit(1)).alias("n")).collect()}
-    out = [names.join(comp.where("_plain"), name == F.col("_pattern"), how)]
-    for length in range(1, PREFIX_KEY_MAX + 1):
-        if counts.get(length, 0) == 0:
-            continue
-        branch = comp.where(~F.col("_plain") & (F.col("_plen") == length))
-        cond = (F.substring(name, 1, length) == F.substring(F.col("_lp"), 1, length)) & \
-            F.regexp_like(name, F.col("_regex"))
-        out.append(names.join(branch, cond, how))
-    for ch in _chunks(comp.where(~F.col("_plain") & (F.col("_plen") == 0)), counts.get(0, 0), max_broadcast):
+    keyed = comp.where(F.col("_plain") | (F.col("_plen") > 0)).withColumn(
+        "_key", F.when(F.col("_plain"), F.col("_pattern")).otherwise(F.substring("_lp", 1, PREFIX_KEY_MAX)))
+    exploded = names.select("*", F.explode(_name_keys(name)).alias("_nkey"))
+    cond = (F.col("_nkey") == F.col("_key")) & F.regexp_like(name, F.col("_regex"))
+    first = exploded.join(keyed, cond, how).drop("_nkey")
+    out = [first]
+    wild = comp.where(~F.col("_plain") & (F.col("_plen") == 0))
+    n_wild = wild.count()
+    for ch in _chunks(wild, n_wild, max_broadcast):
         out.append(names.join(F.broadcast(ch), F.regexp_like(name, F.col("_regex")), how))
     return out
 
@@ -97,9 +109,9 @@ def select_by_glob_table(df: DataFrame, name_col: str, patterns: DataFrame, patt
         return df
     names = df.select(F.col(name_col).alias("_name")).where(F.col("_name").isNotNull()).distinct()
     parts = _glob_branches(names, "_name", comp, "left_semi", max_broadcast)
-    matched = parts[0]
+    matched = parts[0].select("_name")
     for p in parts[1:]:
-        matched = matched.unionByName(p)
+        matched = matched.unionByName(p.select("_name"))
     return df.join(matched.distinct(), F.col(name_col) == F.col("_name"), "left_semi")
 
 

@@ -74,3 +74,21 @@ def test_glob_table_chunked_broadcast(spark):
     got = select_by_glob_table(names, "name", pats, max_broadcast=7)
     assert got.count() == 200
     assert got.distinct().count() == 200
+
+
+def test_glob_table_wildcard_chunks(spark):
+    """Leading-wildcard selectors go through size-checked broadcast chunks; rows come back once."""
+    names = spark.createDataFrame([(f"svc{i:03d}",) for i in range(200)] + [("other",)], "name string")
+    pats = spark.createDataFrame([(f"*{i:03d}",) for i in range(0, 200, 2)] + [("*c1?9",), ("s*0",)],
+                                 "pattern string")
+    got = {r.name for r in select_by_glob_table(names, "name", pats, max_broadcast=7).collect()}
+    want = {f"svc{i:03d}" for i in range(200) if i % 2 == 0 or (100 <= i < 200 and i % 10 == 9) or i % 10 == 0}
+    assert got == want
+
+
+def test_glob_pairs_each_pair_once(spark):
+    from opslog.operators.select import glob_pairs
+    names = spark.createDataFrame([("ab",), ("abc",), ("b",)], "name string")
+    pats = spark.createDataFrame([(0, "ab"), (1, "a*"), (2, "ab*"), (3, "*c"), (4, "abc*")], "ord int, pattern string")
+    got = sorted((r.name, r.ord) for r in glob_pairs(names, "name", pats).collect())
+    assert got == [("ab", 0), ("ab", 1), ("ab", 2), ("abc", 1), ("abc", 2), ("abc", 3), ("abc", 4)]
