@@ -91,11 +91,13 @@ def throttle_progress(progress: DataFrame, file: str = "file", seq: str = "seq",
     emitted: each file reduces to at most 101 candidates (a map-side partial
     aggregate), and the sequential rule folds over that bounded list.
     """
-    cand = (progress.groupBy(file, pct).agg(F.min(seq).alias("_seq")))
-    per_file = cand.groupBy(file).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(pct).alias("p"), F.col("_seq").alias("s")))).alias("_c"))
-    init = F.struct(F.lit(0).alias("last"),
-                    F.array().cast("array<struct<p:int,s:bigint>>").alias("out"))
+    rest = [c for c in progress.columns if c not in (file, pct)]
+    # first row of each percentage value, whole (no join back onto the progress rows later)
+    cand = progress.groupBy(file, pct).agg(F.min_by(F.struct(*rest), F.col(seq)).alias("_row"))
+    per_file = cand.groupBy(file).agg(F.array_sort(F.collect_list(
+        F.struct(F.col(pct).alias("p"), F.col(f"_row.{seq}").alias("s"), F.col("_row").alias("r")))).alias("_c"))
+    elem_type = per_file.schema["_c"].dataType.simpleString()
+    init = F.struct(F.lit(0).alias("last"), F.array().cast(elem_type).alias("out"))
 
     def step_fn(acc, x):
         emit = (x["p"] >= acc["last"] + step) | ((x["p"] == 100) & (acc["last"] != 100))
@@ -103,8 +105,8 @@ def throttle_progress(progress: DataFrame, file: str = "file", seq: str = "seq",
                                      F.array_append(acc["out"], x).alias("out"))).otherwise(acc)
 
     folded = per_file.select(file, F.explode(F.aggregate("_c", init, step_fn)["out"]).alias("_e"))
-    emitted = folded.select(file, F.col("_e.s").alias(seq))
-    return progress.join(emitted, [file, seq], "left_semi")
+    return folded.select(*[F.col(file) if c == file else F.col("_e.p").alias(pct) if c == pct
+                           else F.col(f"_e.r.{c}").alias(c) for c in progress.columns])
 
 
 def progress_rate(emitted: DataFrame, firsts: DataFrame, file: str = "file", ts: str = "ts",
