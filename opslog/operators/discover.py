@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opslog.functions.paths import base_name, dir_name
-from opslog.operators.scan import HOT_KEY_ROWS, ordered_scan
+from opslog.operators import scan as _scan
+from opslog.operators.scan import ordered_scan
 
 # File names that mark a service directory.
 COMPOSE_FILES = ["compose.yml", "compose.yaml", "docker-compose.yml", "docker-compose.yaml"]
@@ -72,7 +73,7 @@ def free_slot(requests: DataFrame, existing: DataFrame, base_col: str = "base",
     if strategy == "auto":  # one decision for the three scans: is any base hot?
         sizes = requests.groupBy(base_col).count().unionByName(ex.groupBy(base_col).count())
         biggest = sizes.groupBy(base_col).agg(F.sum("count").alias("n")).agg(F.max("n")).first()[0] or 0
-        strategy = "window" if biggest <= HOT_KEY_ROWS else "range"
+        strategy = "window" if biggest <= _scan.HOT_KEY_ROWS else "range"
     ex = ordered_scan(ex, base_col, "_e", rn_col="_j0", strategy=strategy).withColumn("_g", F.col("_e") - (F.col("_j0") - 1))
     req = ordered_scan(requests, base_col, list(order_cols), rn_col="_r0", strategy=strategy).withColumn("_r", F.col("_r0") - 1)
     # events sorted by (position, kind): an existing slot with g_j <= r precedes request r

@@ -69,7 +69,7 @@ HOT_KEY_ROWS = 2_000_000
 
 
 def ordered_scan(df: DataFrame, key, order, value: str | None = None, rn_col: str = "_rn",
-                 cum_col: str | None = None, strategy: str = "auto", hot_key_rows: int = HOT_KEY_ROWS,
+                 cum_col: str | None = None, strategy: str = "auto", hot_key_rows: int | None = None,
                  num_partitions: int | None = None) -> DataFrame:
     """Add the 1-based position of each row within its key (by ``order``) and, if ``value`` is
     given, the running total of ``value`` up to and including the row.
@@ -81,8 +81,9 @@ def ordered_scan(df: DataFrame, key, order, value: str | None = None, rn_col: st
     """
     keys, orders = _as_list(key), _as_list(order)
     if strategy == "auto":
+        limit = HOT_KEY_ROWS if hot_key_rows is None else hot_key_rows
         biggest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-        strategy = "window" if biggest <= hot_key_rows else "range"
+        strategy = "window" if biggest <= limit else "range"
     if strategy == "window":
         w = Window.partitionBy(*keys).orderBy(*orders)
         out = df.withColumn(rn_col, F.row_number().over(w).cast("bigint"))
