@@ -13,10 +13,12 @@ from opslog.operators import measures as M
 from opslog.operators import rollup as R
 from opslog.operators.discover import entry_exists
 from opslog.operators.select import select_by_glob_table, select_by_globs, where_failed, where_success
+from opslog.operators.flatten import align, config_rows, explode_groups, map_text  # noqa: F401
 from opslog.plans.facts import (ARCHIVE_DEST, entry_facts, sql_base_name, sql_fmt_duration, sql_fmt_size,
                                 sql_fmt_speed, sql_speed, with_facts)
 from opslog.plans.registry import query
 from opslog.sources import bindings as B
+from opslog.sources.bindings import DIR_GROUPS_SQL, dir_groups  # noqa: F401
 
 # --------------------------------------------------------------------------------------------
 # Flagship: which groups succeeded, how many bytes, how fast
@@ -58,29 +60,8 @@ query("backup_summary", _SUMMARY_SQL)(backup_summary_df)
 # B: projection and flattening
 # --------------------------------------------------------------------------------------------
 
-def dir_groups(spark, sf_dir):
-    """Directory groups per configuration (one per order): priority -> directories."""
-    o = B.table(spark, sf_dir, "orders")
-    dirs = (F.when(F.col("o_orderstatus") == "P", F.array().cast("array<string>"))
-            .otherwise(F.array(F.concat(F.lit("/mnt/c"), F.col("o_custkey").cast("string")),
-                               F.when(F.col("o_orderstatus") == "F", F.lit("~/backup")).otherwise(F.lit("")))))
-    return o.select(F.col("o_orderkey").alias("cfg_id"), F.create_map(F.col("o_orderpriority"), dirs).alias("groups"))
 
 
-DIR_GROUPS_SQL = """
-SELECT o_orderkey AS cfg_id, o_orderpriority AS grp,
-       CASE WHEN o_orderstatus = 'P' THEN []::VARCHAR[]
-            ELSE ['/mnt/c' || CAST(o_custkey AS VARCHAR),
-                  CASE WHEN o_orderstatus = 'F' THEN '~/backup' ELSE '' END] END AS dirs
-FROM orders
-"""
-
-
-def explode_groups(df, map_col="groups"):
-    """B1: map of group -> directories as rows; a group without directories keeps one null row."""
-    g = df.select("*", F.explode(map_col).alias("grp", "_dirs")).drop(map_col)
-    return g.select(*[c for c in g.columns if c != "_dirs"], F.posexplode_outer("_dirs").alias("pos", "directory"))
-
 
 @query("b1_explode_groups", B.with_views("""
 SELECT cfg_id, grp, CAST(u.i - 1 AS INTEGER) AS pos, u.x AS directory FROM g, unnest(dirs) WITH ORDINALITY AS u(x, i)
@@ -187,13 +168,6 @@ def run_params(spark, d):
                                  F.lit("Status"), F.col("o_orderstatus")).alias("config"))
 
 
-def config_rows(df, map_col="config"):
-    """Parameters as ordered ``(pos, key, value)`` rows."""
-    return df.select(*[c for c in df.columns if c != map_col],
-                     F.posexplode(F.map_entries(map_col)).alias("pos", "_e")) \
-             .select("*", F.col("_e.key").alias("key"), F.col("_e.value").alias("value")).drop("_e")
-
-
 @query("b11_config_rows", """
 SELECT o_orderkey AS cfg_id, 0 AS pos, 'Command' AS key, 'Backup' AS value FROM orders
 UNION ALL SELECT o_orderkey, 1, 'Priority', o_orderpriority FROM orders
@@ -203,10 +177,6 @@ def b11(spark, d):
     return config_rows(run_params(spark, d))
 
 
-def map_text(col):
-    return F.array_join(F.transform(F.map_entries(col), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
-
-
 @query("b12_run_config", """
 SELECT o_orderkey AS cfg_id,
        CASE WHEN o_orderstatus = 'P'
@@ -493,23 +463,6 @@ def i6(spark, d):
     return f.select("run_id", "size", fmt.one_decimal(fmt.idiv("size", 1048576), fmt.idiv("size", 1024)).alias("mib"))
 
 
-def align(df, key, cols: list[str], spec: str, out_prefix: str = "a_"):
-    """Strip fields and pad each to the widest value of its column within ``key``.
-
-    An unusable spec (empty, unknown letter, too short) returns the fields untouched.
-    Widths come from a grouped ``max`` joined back (partial aggregation, no whole-group window).
-    """
-    keys = [key] if isinstance(key, str) else list(key)
-    spec2 = fmt.valid_alignment(spec, len(cols))
-    if spec2 is None:
-        return df.select("*", *[F.col(c).alias(out_prefix + c) for c in cols])
-    stripped = df.select("*", *[fmt.strip(c).alias(f"_s_{c}") for c in cols])
-    widths = stripped.groupBy(*keys).agg(*[F.max(F.length(f"_s_{c}")).alias(f"_w_{c}") for c in cols])
-    j = stripped.join(widths, keys)
-    outs = [fmt.ALIGNERS[a](f"_s_{c}", F.col(f"_w_{c}")).alias(out_prefix + c) for a, c in zip(spec2, cols)]
-    return j.select(*df.columns, *outs)
-
-
 def _sql_pad(a: str, x: str, w: str) -> str:
     p = f"({w} - length({x}))"
     if a == "l":

@@ -13,7 +13,7 @@ from opslog.operators import validate as K
 from opslog.operators.discover import backup_upload_join, entry_exists, free_slot, marker_roots
 from opslog.operators.overlay import env_overlay, env_text, profile_lookup
 from opslog.operators.select import min_level, where_failed, where_success
-from opslog.plans.catalog_core import dir_groups
+from opslog.sources.bindings import dir_groups
 from opslog.plans.facts import entry_facts, sql_base_name, sql_fmt_duration, with_facts
 from opslog.plans.registry import query
 from opslog.functions.fmt import sym
@@ -362,12 +362,7 @@ def k5(spark, d):
 @query("k6_nested_rule", B.with_views("""
 SELECT cfg_id, CASE WHEN len(list_filter(dirs, lambda x: x IS NULL OR length(x) = 0)) > 0
                     THEN 'nested-item:' || grp ELSE '' END AS problems
-FROM g""", g="""
-SELECT o_orderkey AS cfg_id, o_orderpriority AS grp,
-       CASE WHEN o_orderstatus = 'P' THEN []::VARCHAR[]
-            ELSE ['/mnt/c' || CAST(o_custkey AS VARCHAR),
-                  CASE WHEN o_orderstatus = 'F' THEN '~/backup' ELSE '' END] END AS dirs
-FROM orders"""))
+FROM g""", g=B.DIR_GROUPS_SQL))
 def k6(spark, d):
     return dir_groups(spark, d).select("cfg_id", _joined(K.nested_rule("groups")).alias("problems"))
 

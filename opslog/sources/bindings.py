@@ -192,6 +192,26 @@ FROM part
 """
 
 
+# --- directory groups: one configuration per order, priority -> directories -----------------
+
+def dir_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Directory groups per configuration (one per order): priority -> directories."""
+    o = table(spark, sf_dir, "orders")
+    dirs = (F.when(F.col("o_orderstatus") == "P", F.array().cast("array<string>"))
+            .otherwise(F.array(F.concat(F.lit("/mnt/c"), F.col("o_custkey").cast("string")),
+                               F.when(F.col("o_orderstatus") == "F", F.lit("~/backup")).otherwise(F.lit("")))))
+    return o.select(F.col("o_orderkey").alias("cfg_id"), F.create_map(F.col("o_orderpriority"), dirs).alias("groups"))
+
+
+DIR_GROUPS_SQL = """
+SELECT o_orderkey AS cfg_id, o_orderpriority AS grp,
+       CASE WHEN o_orderstatus = 'P' THEN []::VARCHAR[]
+            ELSE ['/mnt/c' || CAST(o_custkey AS VARCHAR),
+                  CASE WHEN o_orderstatus = 'F' THEN '~/backup' ELSE '' END] END AS dirs
+FROM orders
+"""
+
+
 def with_views(sql: str, **views: str) -> str:
     """Prefix an oracle query with the binding views it uses."""
     ctes = ",\n".join(f"{name} AS ({text.strip()})" for name, text in views.items())
