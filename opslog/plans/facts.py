@@ -1,7 +1,11 @@
 """Shared derived views for the registered queries, in Spark and as oracle SQL.
 
 ``entry_facts`` adds the per-row measures of E1-E8 to the ``entries`` binding
-in one projection (no shuffle beyond the binding's own join).  The SQL
+in one projection (no shuffle beyond the binding's own join).  ``success`` is
+the process rule (E2).  For the rar entries of this binding it equals the
+archive-and-process rule (E4, queries e3/e4): the archive listing holds every
+archive whose process returned an exit code, so an entry with exit code 0
+always finds its own archive, and E4 costs a self-join that E2 does not.  The SQL
 helpers spell the same formulas for DuckDB, so each oracle states the rule
 independently of the Spark code.
 """

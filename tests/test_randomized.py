@@ -54,3 +54,43 @@ def test_throttle_agrees_with_loop(spark):
         got.setdefault(r.file, []).append((r.seq, r.pct))
     for f, sz in enumerate(files):
         assert sorted(got.get(f, [])) == _throttle_reference(sz), f
+
+
+def _size_reference(n, units, base):
+    if n < 1024:
+        return f"{n} {base}"
+    level = 1
+    while level < len(units) and n >= 1024 ** (level + 1):
+        level += 1
+    major = n // 1024 ** level
+    below = (n // 1024 ** (level - 1)) % 1024
+    return f"{major}.{below * 10 // 1024} {units[level - 1]}"
+
+
+def _duration_reference(us):
+    total = us / 1_000_000
+    days, rest = divmod(total, 86_400)
+    hours, rest = divmod(rest, 3_600)
+    minutes, seconds = divmod(rest, 60)
+    parts = [("d", round(days)), ("h", round(hours)), ("m", round(minutes)), ("s", round(seconds))]
+    while parts and parts[0][1] == 0:
+        parts.pop(0)
+    if not parts:
+        return "< 01s"
+    return " ".join(f"{v}{u}" if u == "d" else f"{v:02d}{u}" for u, v in parts)
+
+
+def test_formatters_agree_with_reference_rules(spark):
+    from opslog.functions import fmt
+    rng = random.Random(3)
+    sizes = [rng.randint(0, 1024 ** rng.randint(1, 5) * 3) for _ in range(3000)] + [1023, 1024, 1024 ** 2 - 1,
+                                                                                    1024 ** 2, 1024 ** 4 * 5000]
+    durs = [rng.randint(-10 ** 12, 10 ** 12) for _ in range(2000)] + [rng.randint(0, 10 ** 8) for _ in range(2000)] \
+        + [59_500_000, 60_500_000, 500_000, 1_500_000, -1, 0]
+    df = spark.createDataFrame([(sizes[i % len(sizes)], durs[i % len(durs)]) for i in range(max(len(sizes), len(durs)))],
+                               "n long, us long")
+    for r in df.select("n", "us", fmt.fmt_size("n").alias("s"), fmt.fmt_speed("n").alias("v"),
+                       fmt.fmt_duration("us").alias("d")).collect():
+        assert r.s == _size_reference(r.n, ["KB", "MB", "GB", "TB"], "bytes"), r
+        assert r.v == _size_reference(r.n, ["KB/s", "MB/s", "GB/s"], "B/s"), r
+        assert r.d == _duration_reference(r.us), r
