@@ -104,7 +104,7 @@ def select_by_glob_table(df: DataFrame, name_col: str, patterns: DataFrame, patt
     An empty selector table selects everything, as an empty selector list does.
     """
     sel = patterns.select(F.col(pattern_col).alias("_pattern")).where(F.col("_pattern").isNotNull()).distinct()
-    comp = _compiled(sel, "_pattern").cache()
+    comp = _compiled(sel, "_pattern")
     if comp.isEmpty():
         return df
     names = df.select(F.col(name_col).alias("_name")).where(F.col("_name").isNotNull()).distinct()
@@ -118,7 +118,7 @@ def select_by_glob_table(df: DataFrame, name_col: str, patterns: DataFrame, patt
 def glob_pairs(names: DataFrame, name_col: str, patterns: DataFrame, pattern_col: str = "pattern",
                max_broadcast: int = DEFAULT_MAX_BROADCAST) -> DataFrame:
     """Every (name row, selector row) pair where the selector matches the name (theta inner join)."""
-    comp = _compiled(patterns.withColumn("_pattern", F.col(pattern_col)), "_pattern").cache()
+    comp = _compiled(patterns.withColumn("_pattern", F.col(pattern_col)), "_pattern")
     cols = names.columns + [c for c in patterns.columns if c not in names.columns]
     parts = [p.select(*cols) for p in _glob_branches(names, name_col, comp, "inner", max_broadcast)]
     out = parts[0]
