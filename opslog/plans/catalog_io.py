@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from opslog.operators.select import where_success
 from opslog.functions.paths import upload_key
-from opslog.plans.catalog_seq import THROTTLE_VIEWS, throttle_oracle
+from opslog.plans.catalog_seq import throttle_oracle
 from opslog.plans.facts import entry_facts, facts_from, with_facts
 from opslog.plans.registry import ORACLES, query
 from opslog.plans.report import report_lines, run_outcomes, title_payload

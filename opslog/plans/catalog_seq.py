@@ -7,12 +7,11 @@ from pyspark.sql import functions as F
 
 from opslog.functions import fmt
 from opslog.functions.paths import upload_key
-from opslog.operators import rollup as R
 from opslog.operators import sequence as S
 from opslog.operators import validate as K
 from opslog.operators.discover import backup_upload_join, entry_exists, free_slot, marker_roots
 from opslog.operators.overlay import env_overlay, env_text, profile_lookup
-from opslog.operators.select import min_level, where_failed, where_success
+from opslog.operators.select import min_level, where_success
 from opslog.sources.bindings import dir_groups
 from opslog.plans.facts import entry_facts, sql_base_name, sql_fmt_duration, with_facts
 from opslog.plans.registry import query
@@ -296,7 +295,6 @@ def d6(spark, d):
 # --------------------------------------------------------------------------------------------
 
 _ALLOWED = "['name', 'provider', 'compress', 'recovery', 'password']"
-_REC = B.with_views  # alias for brevity
 
 _RECORD_FIELDS = """
 SELECT id, js, json_keys(js) AS keys, json_extract_string(js, '$.provider') AS prov,

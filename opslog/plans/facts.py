@@ -13,7 +13,6 @@ independently of the Spark code.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from opslog.functions.paths import archive_name
 from opslog.operators import measures as M

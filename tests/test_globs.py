@@ -1,7 +1,6 @@
 """C1-C3 against the reference's selector vectors."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from opslog.functions.globs import glob_match, glob_to_regex
 from opslog.operators.select import select_by_glob_table, select_by_globs

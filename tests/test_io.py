@@ -1,12 +1,10 @@
 """Sources and sinks: A1-A6, A8."""
 
-import io
 import os
 import tarfile
 import zipfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from opslog.operators.select import min_level
 from opslog.sources.oplog import read_oplog

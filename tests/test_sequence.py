@@ -1,9 +1,7 @@
 """G1-G7 against the reference's sequence vectors; stream form (L1) equals the batch form."""
 
-import os
 from datetime import datetime as dt, timedelta as td
 
-import pytest
 from pyspark.sql import functions as F
 
 from opslog.operators import sequence as S
