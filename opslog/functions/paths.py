@@ -56,7 +56,7 @@ def archive_name(dest, group, directory, ts, ext) -> Column:
 def slot_name(base, slot) -> Column:
     """The ``n``-th free name for an archive: the base itself, then ``_01``, ``_02`` ...."""
     s = _c(slot)
-    return F.when(s == 0, _c(base)).otherwise(F.concat(_c(base), F.lit("_"), F.lpad(s.cast("string"), 2, "0")))
+    return F.when(s == 0, _c(base)).otherwise(F.concat(_c(base), F.lit("_"), F.format_string("%02d", s)))
 
 
 def upload_key(group, directory, archive) -> Column:
