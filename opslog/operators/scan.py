@@ -70,14 +70,16 @@ HOT_KEY_ROWS = 2_000_000
 
 def ordered_scan(df: DataFrame, key, order, value: str | None = None, rn_col: str = "_rn",
                  cum_col: str | None = None, strategy: str = "auto", hot_key_rows: int | None = None,
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None, count_col: str | None = None) -> DataFrame:
     """Add the 1-based position of each row within its key (by ``order``) and, if ``value`` is
     given, the running total of ``value`` up to and including the row.
 
     ``strategy``: ``window`` (one task per key), ``range`` (hot keys split over
     many tasks) or ``auto`` (one grouped count picks ``range`` only when some
     key exceeds ``hot_key_rows``).  ``order`` should make rows of a key
-    distinct for positions to be deterministic.
+    distinct for positions to be deterministic.  ``count_col`` also adds the
+    number of rows of the key: a window count sharing the row number's
+    partitioning, or a grouped count joined back on the range path.
     """
     keys, orders = _as_list(key), _as_list(order)
     if strategy == "auto":
@@ -90,10 +92,14 @@ def ordered_scan(df: DataFrame, key, order, value: str | None = None, rn_col: st
         if cum_col:
             frame = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
             out = out.withColumn(cum_col, F.coalesce(F.sum(value).over(frame), F.lit(0)).cast("bigint"))
+        if count_col:
+            out = out.withColumn(count_col, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
         return out
     if strategy != "range":
         raise ValueError(f"unknown strategy {strategy!r}")
 
+    if count_col:
+        df = df.join(df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col)), keys)
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *keys, *orders).sortWithinPartitions(*keys, *orders)

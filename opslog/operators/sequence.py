@@ -33,14 +33,9 @@ def executed_prefix(df: DataFrame, key: str, order: str, ok: str = "ok", out: st
 
 # --- G2-G4 ------------------------------------------------------------------------------------
 
-def with_group_size(df: DataFrame, key, out: str = "_n") -> DataFrame:
-    keys = [key] if isinstance(key, str) else list(key)
-    return df.join(df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out)), keys)
-
-
 def index_of_total(df: DataFrame, key, order, out: str = "label") -> DataFrame:
     """``[i/n]`` labels, 1-based, in sort order within each group."""
-    d = ordered_scan(with_group_size(df, key), key, order, rn_col="_i")
+    d = ordered_scan(df, key, order, rn_col="_i", count_col="_n")
     return d.withColumn(out, F.concat(F.lit("["), F.col("_i").cast("string"), F.lit("/"),
                                       F.col("_n").cast("string"), F.lit("]"))).drop("_n", "_i")
 
@@ -57,7 +52,7 @@ def list_labels(df: DataFrame, key, order, style: str | None = "number", out: st
         return df.withColumn(out, F.lit("- "))
     if style != "number":
         return df.withColumn(out, F.lit(""))
-    d = ordered_scan(with_group_size(df, key), key, order, rn_col="_i")
+    d = ordered_scan(df, key, order, rn_col="_i", count_col="_n")
     num = F.when(F.col("_n") < 10, F.col("_i").cast("string")).otherwise(F.format_string("%02d", F.col("_i")))
     return d.withColumn(out, F.concat(num, F.lit(". "))).drop("_n", "_i")
 

@@ -53,3 +53,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def checkpoint_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder (streaming state, cut tables)."""
     return os.path.join(ensure_checkpoint_dir(spark), name)
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as parquet below the shared checkpoint folder and read it back.
+
+    For plans that read one derived table from several branches: the table is
+    computed once instead of once per branch, and its lineage is cut (a lost
+    executor re-reads the files rather than recomputing the upstream joins).
+    """
+    import uuid
+    spark = df.sparkSession
+    path = checkpoint_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
