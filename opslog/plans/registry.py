@@ -6,10 +6,13 @@ result is SQL-expressible) is DuckDB SQL over the same parquet tables.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from opslog.session import ship_package
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
@@ -20,7 +23,13 @@ def query(name: str, oracle: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)  # Python workers must be able to import opslog
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = oracle
         return fn

@@ -67,3 +67,34 @@ def materialize(df, name: str):
     path = checkpoint_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``opslog`` importable in Python workers (pandas UDFs, mapInPandas, state, data source).
+
+    Workers do not see the driver's ``sys.path``; the package is zipped once per
+    SparkContext into the shared checkpoint folder and added with ``addPyFile``,
+    which distributes it to every executor.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(pkg_dir)
+    out_dir = checkpoint_path(spark, "pylib")
+    os.makedirs(out_dir, exist_ok=True)
+    path = os.path.join(out_dir, f"opslog-{key}.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, base))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)
