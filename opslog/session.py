@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -38,11 +41,15 @@ def build_session(master: str = "local[*]", app: str = "opslog", shuffle_partiti
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting names a shared, fault-tolerant folder and is
-    used as is.  Only when it is unset (local tests) a scratch folder is made.
+    The folder holds cut tables, streaming state and sink output that every
+    executor must see, so it is never guessed: a session without the setting
+    gets an error.  Only a single-process ``local[...]`` session, where driver
+    and executors are one JVM, may fall back to a scratch folder.
     """
     cur = spark.conf.get("spark.checkpoint.dir", None)
     if not cur:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         cur = tempfile.mkdtemp(prefix="opslog-ckpt-")
         spark.conf.set("spark.checkpoint.dir", cur)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -52,7 +59,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def checkpoint_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder (streaming state, cut tables)."""
-    return os.path.join(ensure_checkpoint_dir(spark), name)
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh scratch folder below the checkpoint folder, deleted when the driver's JVM ends."""
+    path = checkpoint_path(spark, f"{name}-{uuid.uuid4().hex}")
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jpath)
+    return path
 
 
 def materialize(df, name: str):
@@ -62,11 +77,10 @@ def materialize(df, name: str):
     computed once instead of once per branch, and its lineage is cut (a lost
     executor re-reads the files rather than recomputing the upstream joins).
     """
-    import uuid
     spark = df.sparkSession
-    path = checkpoint_path(spark, f"{name}-{uuid.uuid4().hex}")
+    path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 _SHIPPED: set = set()
@@ -76,20 +90,16 @@ def ship_package(spark: SparkSession) -> None:
     """Make ``opslog`` importable in Python workers (pandas UDFs, mapInPandas, state, data source).
 
     Workers do not see the driver's ``sys.path``; the package is zipped once per
-    SparkContext into the shared checkpoint folder and added with ``addPyFile``,
-    which distributes it to every executor.
+    SparkContext on the driver and added with ``addPyFile``: executors fetch it
+    from the driver, so the zip needs no shared folder.
     """
-    import zipfile
-
     sc = spark.sparkContext
     key = sc.applicationId
     if key in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     base = os.path.dirname(pkg_dir)
-    out_dir = checkpoint_path(spark, "pylib")
-    os.makedirs(out_dir, exist_ok=True)
-    path = os.path.join(out_dir, f"opslog-{key}.zip")
+    path = os.path.join(tempfile.mkdtemp(prefix="opslog-zip-"), "opslog-pkg.zip")
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
         for dirpath, _, files in os.walk(pkg_dir):
             for f in files:
