@@ -96,24 +96,30 @@ def _earlier(a: str, b: str) -> Column:
 
 def _matches(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Of (later, earlier) pairs, the later lines whose Jaccard with the earlier one reaches the threshold."""
-    a = sets.select(F.col("h1").alias("later"), F.col("tokens").alias("x"))
-    b = sets.select(F.col("h1").alias("earlier"), F.col("tokens").alias("y"))
+    a = sets.select(F.col("id").alias("later"), F.col("tokens").alias("x"))
+    b = sets.select(F.col("id").alias("earlier"), F.col("tokens").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     return (pairs.join(a, "later").join(b, "earlier")
-            .where(both * den >= (F.size("x") + F.size("y") - both) * num).select(F.col("later").alias("h1")).distinct())
+            .where(both * den >= (F.size("x") + F.size("y") - both) * num).select(F.col("later").alias("id")).distinct())
+
+
+def _sets_of(pairs: DataFrame, docs: DataFrame, distinct: DataFrame) -> DataFrame:
+    """(id, tokens) of the lines in (later, earlier) pairs, read again from the texts; a repeated document gives its lines twice."""
+    ids = pairs.select(F.col("later").alias("id")).unionByName(pairs.select(F.col("earlier").alias("id"))).distinct()
+    wanted = materialize(distinct.select("id", "h1", "h2", "doc_id", "line_no").join(ids, "id", "left_semi"), "wanted")
+    l, w = _named(document_lines(docs)).alias("l"), small_side(wanted).alias("w")
+    here = (F.col("l.h1") == F.col("w.h1")) & (F.col("l.h2") == F.col("w.h2")) & (F.col("l.line_no") == F.col("w.line_no")) \
+        & F.col("l.doc_id").eqNullSafe(F.col("w.doc_id"))
+    return materialize(l.join(w, here).select("w.id", "l.line").select("id", _tokens(F.col("line")).alias("tokens")), "line-sets")
 
 
 def repeated_lines(docs: DataFrame, num: int = NUM, den: int = DEN, leaders: int = LEADERS) -> DataFrame:
     """(doc_id, line_no, h1) of every line of ``docs`` (doc_id, text) that equals or matches an earlier one."""
     lines = materialize(_line_table(docs, num, den), "lines").where("n > 0")  # a filter before would compute the tokens twice
-    place = F.struct(F.col("doc_id").isNotNull().alias("has_id"), "doc_id", "line_no", "h1")
-    firsts = materialize(lines.groupBy("h1", "h2").agg(F.min(place).alias("f")).select("h1", "h2", F.col("f.doc_id").alias("doc_id"),
-                                                                                   F.col("f.line_no").alias("line_no")), "firsts")
-    l, f = lines.alias("l"), firsts.alias("f")
-    same = (F.col("l.h1") == F.col("f.h1")) & (F.col("l.h2") == F.col("f.h2"))
-    at_first = F.col("l.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("l.line_no") == F.col("f.line_no"))
-    distinct = l.join(f, same & at_first).select("l.*").dropDuplicates(["h1", "h2"])
-    distinct = materialize(distinct, "distinct")
+    first = F.min(F.struct(F.col("doc_id").isNotNull().alias("has_id"), "doc_id", "line_no", "n", "front"))
+    distinct = (lines.groupBy("h1", "h2").agg(first.alias("f"))
+                .select(F.monotonically_increasing_id().alias("id"), "h1", "h2", "f.doc_id", "f.line_no", "f.n", "f.front"))
+    distinct = materialize(distinct, "distinct")  # from here on the ids are fixed
 
     # prefixes under the order of rarity: class and hash in one number, the class in the upper bits
     classes = _rarity(distinct)
@@ -121,39 +127,35 @@ def repeated_lines(docs: DataFrame, num: int = NUM, den: int = DEN, leaders: int
         + F.shiftrightunsigned(x, 7)
     ordered = F.sort_array(F.transform("front", lambda x: F.struct(rank(x).alias("r"), x.alias("x"))))
     prefix = F.slice(F.transform(ordered, lambda s: s["x"]), 1, _prefix_size(F.col("n"), num, den))
-    rows = distinct.select("h1", "n", F.posexplode(prefix).alias("at", "x")).select(
-        (F.col("x") / F.lit(1 << 32)).cast("int").alias("token"), "h1", F.shiftleft(F.col("n").cast("long"), 31).bitwiseOR(F.col("at")).alias("n_at"))
+    rows = distinct.select("id", "n", F.posexplode(prefix).alias("at", "x")).select(
+        (F.col("x") / F.lit(1 << 32)).cast("int").alias("token"), "id", F.shiftleft(F.col("n").cast("long"), 31).bitwiseOR(F.col("at")).alias("n_at"))
     in_bucket = rows.withColumn("size", F.count("*").over(Window.partitionBy("token"))).where("size > 1") \
-        .select("token", "h1", F.shiftright("n_at", 31).cast("int").alias("n"), F.col("n_at").bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("at"))
-    shared = materialize(in_bucket, "shared")
-    placed = shared.join(distinct.select("h1", "doc_id", "line_no"), "h1")
+        .select("token", "id", F.shiftright("n_at", 31).cast("int").alias("n"), F.col("n_at").bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("at"))
+    placed = materialize(in_bucket, "shared").join(distinct.select("id", "h1", "doc_id", "line_no"), "id")
     by_place = Window.partitionBy("token").orderBy(F.col("doc_id").isNotNull(), "doc_id", "line_no", "h1")
     placed = materialize(placed.withColumn("order", F.row_number().over(by_place)), "placed")
 
     def candidates(later: DataFrame, earlier: DataFrame) -> DataFrame:
         x, y = later.alias("x"), earlier.alias("y")
         least = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))  # tokens that can still be shared
-        return (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("y.order") < F.col("x.order")) & _earlier("y", "x")
-                       & (F.col("x.n") * den >= F.col("y.n") * num) & (F.col("y.n") * den >= F.col("x.n") * num)
-                       & (least * (num + den) >= (F.col("x.n") + F.col("y.n")) * num))
-                .select(F.col("x.h1").alias("later"), F.col("y.h1").alias("earlier")).distinct())
-
-    wanted = materialize(placed.select("h1").distinct(), "wanted")
-    sets = (_named(document_lines(docs)).join(small_side(wanted), "h1").join(small_side(distinct.select("h1", "doc_id", "line_no")
-            .join(wanted, "h1", "left_semi")).withColumnRenamed("doc_id", "d").withColumnRenamed("line_no", "i"), "h1")
-            .where(F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("line_no") == F.col("i")))
-            .select("h1", _tokens(F.col("line")).alias("tokens")).dropDuplicates(["h1"]))
-    sets = materialize(sets, "line-sets")
-    first_round = materialize(_matches(candidates(placed, placed.where(F.col("order") <= leaders)), sets, num, den), "matched")
-    open_lines = placed.where(F.col("order") > leaders).join(first_round, "h1", "left_anti")
-    second = _matches(candidates(open_lines, placed.where(F.col("order") > leaders)), sets, num, den)
+        return materialize(
+            x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("y.order") < F.col("x.order")) & _earlier("y", "x")
+                   & (F.col("x.n") * den >= F.col("y.n") * num) & (F.col("y.n") * den >= F.col("x.n") * num)
+                   & (least * (num + den) >= (F.col("x.n") + F.col("y.n")) * num))
+            .select(F.col("x.id").alias("later"), F.col("y.id").alias("earlier")).distinct(), "pairs")
+
+    first_pairs = candidates(placed, placed.where(F.col("order") <= leaders))
+    first_round = materialize(_matches(first_pairs, _sets_of(first_pairs, docs, distinct), num, den), "matched")
+    open_lines = placed.where(F.col("order") > leaders).join(first_round, "id", "left_anti")
+    second_pairs = candidates(open_lines, placed.where(F.col("order") > leaders))
+    second = _matches(second_pairs, _sets_of(second_pairs, docs, distinct), num, den)
     matched = first_round.unionByName(second).distinct().withColumn("gone", F.lit(True))
 
-    verdict = materialize(firsts.join(matched, "h1", "left"), "verdict")
-    v = verdict.alias("v")
-    hit = (F.col("l.h1") == F.col("v.h1")) & (F.col("l.h2") == F.col("v.h2"))
+    v = distinct.select("id", "h1", "h2", "doc_id", "line_no").join(matched, "id", "left").alias("v")
+    l = lines.select("doc_id", "line_no", "h1", "h2").alias("l")
     first_here = F.col("l.doc_id").eqNullSafe(F.col("v.doc_id")) & (F.col("l.line_no") == F.col("v.line_no"))
-    return l.join(v, hit).where(F.coalesce("v.gone", F.lit(False)) | ~first_here).select("l.doc_id", "l.line_no", "l.h1")
+    return (l.join(v, (F.col("l.h1") == F.col("v.h1")) & (F.col("l.h2") == F.col("v.h2")))
+            .where(F.coalesce("v.gone", F.lit(False)) | ~first_here).select("l.doc_id", "l.line_no", "l.h1"))
 
 
 def dedup_lines(docs: DataFrame, num: int = NUM, den: int = DEN, leaders: int = LEADERS,
