@@ -1,15 +1,16 @@
 """Line dedup by an exact set-similarity join (DataFrame functions only).
 
 A line is the set of its distinct five-word shingles.  Tokens are ordered by
-rarity: the number of lines behind a token's counter in a table of fixed size
-(tokens share counters by hash; tokens in the lowest quarter of the hash range
-are counted and come first), then by hash.  Two lines of Jaccard t or more
+rarity: the number of distinct lines behind a token's counter in a table of
+fixed size (tokens share counters by hash), then by hash.  Two lines of Jaccard t or more
 share a token among the first ``n - ceil(t n) + 1`` of each; candidates must
 also pass the length filter and the positional filter, and are verified by the
 exact Jaccard of their sets.  A line that matches any earlier line is removed;
 lines are ordered by document id (nulls first), place and hash.
 
-Equal lines are collapsed first.  In a token's bucket the ``LEADERS`` earliest
+Equal lines are collapsed first.  A line's own edits are its rarest tokens, so
+variants of one line that differ too much share no prefix token or fail the
+positional filter.  In a token's bucket the ``LEADERS`` earliest
 lines are compared with all; only lines that match none of them are compared
 with the rest of the bucket, which lets thousands of variants of one line cost
 a few comparisons each.
@@ -27,9 +28,8 @@ from opslog.session import materialize
 
 WORDS = 5  # a shingle; lines with fewer words are too short to be judged and stay
 NUM, DEN = 80, 100
-COUNTERS = 1 << 16
+COUNTERS = 1 << 18
 LEADERS = 8
-COUNTED = -(1 << 62)  # signed hashes below it are the lowest quarter of the range
 
 
 def _let(value: Column, body) -> Column:
@@ -64,14 +64,14 @@ def _prefix_size(n: Column, num: int, den: int) -> Column:
     return n - F.ceil(n * num / den).cast("int") + 1
 
 
-def _line_table(docs: DataFrame, num: int, den: int) -> DataFrame:
-    """Every line: its names, place, set size (0: not judged), and the tokens that can stand in its prefix."""
-    t = _named(document_lines(docs)).withColumn("tokens", _tokens(F.col("line")))
-    # the counted tokens are first in any order; without enough of them the next ones by hash follow
-    front = lambda x: _let(F.filter(x, lambda y: y < COUNTED), lambda c: F.when(
-        F.size(c) >= _prefix_size(F.size(x), num, den), c).otherwise(F.slice(x, 1, _prefix_size(F.size(x), num, den))))
-    both = _let(F.col("tokens"), lambda x: F.struct(F.size(x).alias("n"), F.when(F.size(x) > 0, front(x)).alias("front")))
-    return t.select("doc_id", "line_no", "h1", "h2", both.alias("t")).select("doc_id", "line_no", "h1", "h2", "t.n", "t.front")
+def _line_table(docs: DataFrame) -> DataFrame:
+    """Every line: its names, place, and the upper halves of its token hashes (empty: not judged).
+
+    A half may stand for two tokens of a line; it then stands twice, so sizes and places in an order are those of the
+    whole hashes.
+    """
+    half = F.transform(_tokens(F.col("line")), lambda x: F.shiftright(x, 32).cast("int"))
+    return _named(document_lines(docs)).select("doc_id", "line_no", "h1", "h2", half.alias("tokens"))
 
 
 def _counter(x: Column) -> Column:
@@ -80,8 +80,8 @@ def _counter(x: Column) -> Column:
 
 def _rarity(lines: DataFrame) -> Column:
     """Base-2 logarithm of each counter's number of distinct lines, as one array of COUNTERS small numbers."""
-    counts = (lines.select(F.explode("front").alias("x")).where(F.col("x") < COUNTED)
-              .groupBy(_counter(F.col("x")).alias("c")).agg(F.ceil(F.log2(F.count("*") + F.lit(1))).cast("int").alias("k")).collect())
+    counts = (lines.select(F.explode("tokens").alias("x")).groupBy(_counter(F.col("x")).alias("c"))
+              .agg(F.ceil(F.log2(F.count("*") + F.lit(1))).cast("int").alias("k")).collect())
     classes = ["0"] * COUNTERS
     for r in counts:
         classes[r.c] = str(r.k)
@@ -115,20 +115,19 @@ def _sets_of(pairs: DataFrame, docs: DataFrame, distinct: DataFrame) -> DataFram
 
 def repeated_lines(docs: DataFrame, num: int = NUM, den: int = DEN, leaders: int = LEADERS) -> DataFrame:
     """(doc_id, line_no, h1) of every line of ``docs`` (doc_id, text) that equals or matches an earlier one."""
-    lines = materialize(_line_table(docs, num, den), "lines").where("n > 0")  # a filter before would compute the tokens twice
-    first = F.min(F.struct(F.col("doc_id").isNotNull().alias("has_id"), "doc_id", "line_no", "n", "front"))
-    distinct = (lines.groupBy("h1", "h2").agg(first.alias("f"))
-                .select(F.monotonically_increasing_id().alias("id"), "h1", "h2", "f.doc_id", "f.line_no", "f.n", "f.front"))
+    first = F.min(F.struct(F.col("doc_id").isNotNull().alias("has_id"), "doc_id", "line_no", "tokens"))
+    distinct = (_line_table(docs).groupBy("h1", "h2").agg(first.alias("f"))
+                .select(F.monotonically_increasing_id().alias("id"), "h1", "h2", "f.doc_id", "f.line_no", "f.tokens")
+                .withColumn("n", F.size("tokens")).where("n > 0"))
     distinct = materialize(distinct, "distinct")  # from here on the ids are fixed
 
-    # prefixes under the order of rarity: class and hash in one number, the class in the upper bits
+    # prefixes under the order of rarity: class in the upper half of a number, token in the lower one
     classes = _rarity(distinct)
-    rank = lambda x: F.when(x < COUNTED, F.shiftleft(F.get(classes, _counter(x)).cast("long"), 57)).otherwise(F.lit(1 << 62)) \
-        + F.shiftrightunsigned(x, 7)
-    ordered = F.sort_array(F.transform("front", lambda x: F.struct(rank(x).alias("r"), x.alias("x"))))
-    prefix = F.slice(F.transform(ordered, lambda s: s["x"]), 1, _prefix_size(F.col("n"), num, den))
+    ranked = F.sort_array(F.transform("tokens", lambda x: F.shiftleft(F.get(classes, _counter(x)).cast("long"), 32)
+                                      .bitwiseOR(x.cast("long").bitwiseAND(F.lit((1 << 32) - 1)))))
+    prefix = F.slice(ranked, 1, _prefix_size(F.col("n"), num, den))
     rows = distinct.select("id", "n", F.posexplode(prefix).alias("at", "x")).select(
-        (F.col("x") / F.lit(1 << 32)).cast("int").alias("token"), "id", F.shiftleft(F.col("n").cast("long"), 31).bitwiseOR(F.col("at")).alias("n_at"))
+        F.shiftright(F.shiftleft("x", 32), 32).cast("int").alias("token"), "id", F.shiftleft(F.col("n").cast("long"), 31).bitwiseOR(F.col("at")).alias("n_at"))
     in_bucket = rows.withColumn("size", F.count("*").over(Window.partitionBy("token"))).where("size > 1") \
         .select("token", "id", F.shiftright("n_at", 31).cast("int").alias("n"), F.col("n_at").bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("at"))
     placed = materialize(in_bucket, "shared").join(distinct.select("id", "h1", "doc_id", "line_no"), "id")
@@ -152,7 +151,7 @@ def repeated_lines(docs: DataFrame, num: int = NUM, den: int = DEN, leaders: int
     matched = first_round.unionByName(second).distinct().withColumn("gone", F.lit(True))
 
     v = distinct.select("id", "h1", "h2", "doc_id", "line_no").join(matched, "id", "left").alias("v")
-    l = lines.select("doc_id", "line_no", "h1", "h2").alias("l")
+    l = _named(document_lines(docs)).drop("line").alias("l")
     first_here = F.col("l.doc_id").eqNullSafe(F.col("v.doc_id")) & (F.col("l.line_no") == F.col("v.line_no"))
     return (l.join(v, (F.col("l.h1") == F.col("v.h1")) & (F.col("l.h2") == F.col("v.h2")))
             .where(F.coalesce("v.gone", F.lit(False)) | ~first_here).select("l.doc_id", "l.line_no", "l.h1"))
