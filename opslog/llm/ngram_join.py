@@ -3,8 +3,8 @@
 A document is its set of distinct ``k``-word shingles.  Two sets of Jaccard at
 least t share a token in their prefixes (the first ``n - ceil(t n) + 1``
 tokens) under *every* global order of tokens, so pairs are generated from the
-prefixes of one order and must meet in those of the others before any set is
-compared.
+prefixes of one order and must meet in those of the others, with room for
+enough shared tokens in each, before any set is compared.
 
 All orders put rare tokens first.  Rarity comes from a count over all
 documents in a table of ``CELLS`` counters (tokens share counters by hash;
@@ -34,7 +34,7 @@ from opslog.session import materialize
 CELL_BITS, PIECE_BITS = 20, 14
 CELLS = 1 << CELL_BITS
 ORDERS = (U64(0x243F6A8885A308D3), U64(0x13198A2E03707344), U64(0xA4093822299F31D0))
-FEW = 32  # classes in a bucket that gives pairs; larger buckets go by blocks
+FEW = 128  # classes in a bucket that gives pairs; larger buckets go by blocks
 BLOCK = 1000  # classes in a block
 
 
@@ -91,11 +91,26 @@ def rarity_classes(docs: DataFrame, k: int) -> np.ndarray:
 
 
 def prefix(s: np.ndarray, classes: np.ndarray, order: np.uint64, num: int, den: int) -> np.ndarray:
-    """The first ``n - ceil(n num / den) + 1`` tokens of a set under one global order."""
+    """The ranks, ascending, of the first ``n - ceil(n num / den) + 1`` tokens of a set under one global order.
+
+    A rank names its token: not counted or counted, rarity class, 57 bits of the order's hash.
+    """
     p = len(s) + (-num * len(s)) // den + 1
     rank = np.where(s >> U64(62) == 0, classes[(s & U64(CELLS - 1)).astype(np.int64)].astype(U64) << U64(57), U64(1 << 63)) \
         | (mix(s ^ order) >> U64(7))
-    return s[np.argpartition(rank, p - 1)[:p]] if p < len(s) else s
+    return np.sort(np.partition(rank, p - 1)[:p] if p < len(s) else rank)
+
+
+def may_link(n: int, m: int, a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
+    """Whether two prefixes under one order share a token and leave room for enough shared tokens.
+
+    Up to the smaller of their last ranks both sets are known, so what is not shared there is not shared at all.
+    """
+    last = min(a[-1], b[-1])
+    i, j = int(np.searchsorted(a, last, "right")), int(np.searchsorted(b, last, "right"))
+    at = np.searchsorted(b[:j], a[:i])
+    shared = int((b[np.minimum(at, j - 1)] == a[:i]).sum()) if i and j else 0
+    return shared > 0 and (shared + min(n - i, m - j)) * (num + den) >= num * (n + m)
 
 
 def linked(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
@@ -129,7 +144,8 @@ def _document_sets(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
 
             def lists(j, kind):
                 flat = np.concatenate(pre[j]) if pre[j] else np.empty(0, U64)
-                values = signed(flat) if kind is np.int64 else (flat >> U64(32)).astype(np.uint32).view(np.int32)
+                flat = flat ^ U64(1 << 63)  # the order of ranks as signed numbers
+                values = signed(flat) if kind is np.int64 else (signed(flat) >> 32).astype(np.int32)
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in pre[j]])]).astype(np.int32)
                 return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
             yield pa.RecordBatch.from_arrays(
@@ -142,17 +158,28 @@ def _document_sets(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                               "p1 array<long>, p2 array<int>, p3 array<int>"))
 
 
+def _close_pairs(pairs: DataFrame, reps: DataFrame, num: int, den: int) -> DataFrame:
+    """The candidate pairs that meet, with room for enough shared tokens, under every order."""
+    @F.pandas_udf("boolean")
+    def close(n, m, a1, a2, a3, b1, b2, b3):
+        import pandas as pd
+        return pd.Series([all(may_link(x, y, u, v, num, den) for u, v in ((c1, d1), (c2, d2), (c3, d3)))
+                          for x, y, c1, c2, c3, d1, d2, d3 in zip(n, m, a1, a2, a3, b1, b2, b3)], dtype=bool)
+    a = reps.select(F.col("set_id").alias("a"), F.col("n").alias("an"), *[F.col(f"p{i}").alias(f"a{i}") for i in (1, 2, 3)])
+    b = reps.select(F.col("set_id").alias("b"), F.col("n").alias("bn"), *[F.col(f"p{i}").alias(f"b{i}") for i in (1, 2, 3)])
+    return pairs.join(a, "a").join(b, "b").where(close("an", "bn", "a1", "a2", "a3", "b1", "b2", "b3")).select("a", "b")
+
+
 def _pair_links(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """The candidate pairs that meet under the other orders and whose sets are similar enough."""
+    """The pairs whose sets are similar enough."""
     @F.pandas_udf("boolean")
     def similar(x, y):
         import pandas as pd
         return pd.Series([linked(shingle_set(doc_words(a.encode(), True)[2], k), shingle_set(doc_words(b.encode(), True)[2], k), num, den)
                           for a, b in zip(x, y)], dtype=bool)
-    a = texts.select(F.col("set_id").alias("a"), F.col("p2").alias("a2"), F.col("p3").alias("a3"), F.col("text").alias("ta"))
-    b = texts.select(F.col("set_id").alias("b"), F.col("p2").alias("b2"), F.col("p3").alias("b3"), F.col("text").alias("tb"))
-    return (pairs.join(a, "a").join(b, "b").where(F.arrays_overlap("a2", "b2") & F.arrays_overlap("a3", "b3"))
-            .where(similar("ta", "tb")).select(F.col("a").alias("u"), F.col("b").alias("v")))
+    a = texts.select(F.col("set_id").alias("a"), F.col("text").alias("ta"))
+    b = texts.select(F.col("set_id").alias("b"), F.col("text").alias("tb"))
+    return pairs.join(a, "a").join(b, "b").where(similar("ta", "tb")).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
 def _forest(members: list, across: bool, k: int, num: int, den: int) -> list[tuple[int, int]]:
@@ -217,17 +244,16 @@ def jaccard_components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 10
     base = docs.select("doc_id", "text")
     sets = materialize(_document_sets(base, k, num, den), "sets")
     filled = sets.where("n > 0 and doc_id is not null")
-    firsts = filled.groupBy("set_id", "sig", "n").agg(F.min("doc_id").alias("doc_id"))
-    reps = filled.join(firsts, ["set_id", "sig", "n", "doc_id"]).dropDuplicates(["set_id", "sig", "n"])
-    reps = materialize(reps.select("set_id", "doc_id", "text_key", "n", "p1", "p2", "p3"), "classes")
+    first = F.min(F.struct("doc_id", "text_key", "p1", "p2", "p3")).alias("f")
+    reps = materialize(filled.groupBy("set_id", "sig", "n").agg(first).select("set_id", "n", "f.*"), "classes")
 
     tokens = reps.select("set_id", F.col("n").cast("int").alias("n"), F.explode("p1").alias("token"))
     shared = materialize(tokens.withColumn("bucket_size", F.count("*").over(Window.partitionBy("token"))).where("bucket_size > 1"), "buckets")
     x, y = shared.where(F.col("bucket_size") <= few).alias("x"), shared.where(F.col("bucket_size") <= few).alias("y")
-    pairs = materialize(
-        x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.set_id") < F.col("y.set_id"))
-               & (F.col("x.n") * den >= F.col("y.n") * num) & (F.col("y.n") * den >= F.col("x.n") * num))
-        .select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b")).distinct(), "pairs")
+    pairs = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.set_id") < F.col("y.set_id"))
+                    & (F.col("x.n") * den >= F.col("y.n") * num) & (F.col("y.n") * den >= F.col("x.n") * num))
+             .select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b")).distinct())
+    pairs = materialize(_close_pairs(pairs, reps, num, den), "pairs")
     large = shared.where(F.col("bucket_size") > few)
 
     need = materialize(pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id")))
