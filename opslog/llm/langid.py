@@ -139,10 +139,13 @@ class LangModel:
         return out
 
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:
+        """(language, share of the letters) of each text; 'und' and 0 without a letter or without a learned language."""
+        if not self.langs:
+            return [("und", 0.0)] * len(texts)
         words = [self.word_scores(t) for t in texts]
         out = []
         for (letters, _), path in zip(words, self.label([s for _, s in words])):
-            if not len(letters) or not self.langs:
+            if not len(letters):
                 out.append(("und", 0.0))
                 continue
             held = np.bincount(path, letters, len(self.langs))
