@@ -19,7 +19,6 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opslog.llm.common import utf8_cells
 
 # HTML element names and the usual words of class, id and role attributes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -216,9 +215,7 @@ def extract_text(page: Column | str) -> Column:
     @F.pandas_udf("string")
     def extract(s):
         import pandas as pd
-        import pyarrow as pa
-        return pd.Series([main_text(b.decode("utf-8", "replace")) for b in utf8_cells(pa.Array.from_pandas(s, type=pa.string()))],
-                         dtype=object)
+        return pd.Series([main_text(p if isinstance(p, str) else "") for p in s], dtype=object)
     return extract(page)
 
 

@@ -218,11 +218,10 @@ def identify(docs: DataFrame, model: LangModel, pred: str = "lang_pred", score:
     @F.pandas_udf("lang_pred string, score double")
     def predict(s):
         import pandas as pd
-        import pyarrow as pa
-        cells = utf8_cells(pa.Array.from_pandas(s, type=pa.string()))
+        texts = [t if isinstance(t, str) else "" for t in s]
         out = []
-        for a, b in grouped(cells, 8 << 20):
-            out += model.predict([c.decode("utf-8", "replace") for c in cells[a:b]])
+        for a, b in grouped(texts, 4 << 20):
+            out += model.predict(texts[a:b])
         return pd.DataFrame(out, columns=["lang_pred", "score"])
 
     return (docs.select(*rest, predict(F.col("text")).alias("__p"))

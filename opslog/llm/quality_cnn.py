@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opslog.llm.common import held_out, utf8_cells
+from opslog.llm.common import held_out
 
 FILTERS, WIDTH, STRIDE = 16, 8, 2
 CHUNK, STEP = 512, 504  # neighbours share WIDTH bytes, so that no filter window is cut
@@ -150,8 +150,7 @@ def quality_score(text: Column | str, model: ByteCNN) -> Column:
     @F.pandas_udf("double")
     def score(s):
         import pandas as pd
-        import pyarrow as pa
-        return pd.Series([model.score(b) for b in utf8_cells(pa.Array.from_pandas(s, type=pa.string()))], dtype="float64")
+        return pd.Series([model.score(t.encode() if isinstance(t, str) else b"") for t in s], dtype="float64")
     return score(text)
 
 
