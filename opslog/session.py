@@ -62,14 +62,31 @@ def checkpoint_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
 
 
+SCRATCH: list[str] = []  # folders of cut tables that this process made and has not released
+
+
+def _jvm_folder(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath, jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh scratch folder below the checkpoint folder, deleted when the driver's JVM ends."""
+    """A fresh scratch folder below the checkpoint folder, deleted when the driver's JVM ends, if not released before."""
     path = checkpoint_path(spark, f"{name}-{uuid.uuid4().hex}")
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jpath)
+    jpath, fs = _jvm_folder(spark, path)
+    fs.deleteOnExit(jpath)
+    SCRATCH.append(path)
     return path
 
 
+def release_scratch(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch folders whose tables nobody reads any more."""
+    for path in paths:
+        jpath, fs = _jvm_folder(spark, path)
+        fs.delete(jpath, True)
+        SCRATCH.remove(path)
+
+
 def materialize(df, name: str):
     """Write ``df`` once as parquet below the shared checkpoint folder and read it back.
 
