@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslog.llm.common import U64, doc_words, group_words, grouped, mix, utf8_cells
+from opslog.llm.common import doc_words, group_words, grouped, mix, slices, U64, utf8_cells
 
 SIMILARITY = 0.8
 MIN_WORDS = 5  # items with fewer words are no evidence of a leak and are not searched for
@@ -195,7 +195,7 @@ def _search(docs: DataFrame, index) -> DataFrame:
     def scan(batches):
         import pyarrow as pa
         items = index.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             ids, cells = batch.column(0), utf8_cells(batch.column(1))
             for a, b in grouped(cells):
                 bounds, _, _, h, _, _ = group_words(cells[a:b])

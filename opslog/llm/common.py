@@ -127,6 +127,24 @@ def utf8_cells(col) -> list[bytes]:
     return [b if b is not None else b"" for b in col.cast(pa.binary()).to_pylist()]
 
 
+def trim() -> None:
+    """Give freed memory back to the system: idle Python workers share their executor's limit with the JVM."""
+    import ctypes
+    import pyarrow as pa
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library keeps its own counsel
+        pass
+
+
+def slices(batch, rows: int = 2000):
+    """A record batch in parts, so that only a part's cells are Python objects at a time."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+    trim()
+
+
 def grouped(cells: list[bytes], most: int = 1 << 18):
     """Index ranges [a, b) of consecutive cells with about ``most`` bytes together, at least one cell each."""
     a = size = 0

@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslog.llm.common import grouped, held_out, utf8_cells
+from opslog.llm.common import grouped, held_out, slices, trim, utf8_cells
 
 BUCKETS = 1 << 15
 PER_LANG, MAX_LANGS = 4000, 200
@@ -187,7 +187,7 @@ def fit_languages(docs: DataFrame, per_lang: int = PER_LANG, max_langs: int = MA
     def count(batches):
         import pyarrow as pa
         seen: dict[int, np.ndarray] = {}
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             for lang, cell in zip(batch.column(0).to_pylist(), utf8_cells(batch.column(1))):
                 g = letter_grams(cell.decode("utf-8", "replace"))
                 if g is None:
@@ -222,6 +222,7 @@ def identify(docs: DataFrame, model: LangModel, pred: str = "lang_pred", score:
         out = []
         for a, b in grouped(texts, 4 << 20):
             out += model.predict(texts[a:b])
+        trim()
         return pd.DataFrame(out, columns=["lang_pred", "score"])
 
     return (docs.select(*rest, predict(F.col("text")).alias("__p"))

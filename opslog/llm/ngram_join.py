@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from opslog.llm.common import U64, doc_words, gram_hashes, group_words, grouped, mix, shingle_set, signed, small_side, utf8_cells
+from opslog.llm.common import doc_words, gram_hashes, group_words, grouped, mix, shingle_set, signed, slices, small_side, U64, utf8_cells
 from opslog.llm.components import components
 from opslog.session import materialize
 
@@ -56,7 +56,7 @@ def rarity_classes(docs: DataFrame, k: int) -> np.ndarray:
     def count(batches):
         import pyarrow as pa
         table = np.zeros(CELLS, np.int64)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             cells = utf8_cells(batch.column(0))
             for a, b in grouped(cells):
                 sets = [s for s in _sets(cells[a:b], k)]
@@ -131,7 +131,7 @@ def _document_sets(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     def scan(batches):
         import pyarrow as pa
         classes = shared.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             cells = utf8_cells(batch.column(2))
             n, sig, pre = [], [], [[], [], []]
             for a, b in grouped(cells):

@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslog.llm.common import U64, doc_words, gram_hashes, group_words, grouped, signed, utf8_cells
+from opslog.llm.common import doc_words, gram_hashes, group_words, grouped, signed, slices, U64, utf8_cells
 from opslog.session import materialize
 
 K, M = 35, 8
@@ -93,7 +93,7 @@ def repeated_minimisers(docs: DataFrame, k: int = K, m: int = M) -> DataFrame:
     """(minimiser, n) of the minimisers of more than one super-k-mer."""
     def scan(batches):
         import pyarrow as pa
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             cells = utf8_cells(batch.column(0))
             for a, b in grouped(cells):
                 bounds, _, _, h, _, _ = group_words(cells[a:b])
@@ -127,7 +127,7 @@ def _super_kmers(docs: DataFrame, table: np.ndarray, hot: np.ndarray, k: int, m:
     def scan(batches):
         import pyarrow as pa
         table, hot = shared.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             ids, keys = batch.column(0), batch.column(1)
             cells = utf8_cells(batch.column(2))
             for a, b in grouped(cells):
@@ -228,7 +228,7 @@ def dedup_substrings(docs: DataFrame, k: int = K, m: int = M, bits: int = FILTER
 
     def keep(batches):
         import pyarrow as pa
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             out = []
             for text, found in zip(utf8_cells(batch.column(1)), batch.column(2).to_pylist()):
                 words = text.split()
