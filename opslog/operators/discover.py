@@ -34,9 +34,10 @@ def marker_roots(files: DataFrame, path_col: str = "path", markers: list[str] |
     """D3: ``(name, kind, directory)`` for every marked directory not below another marked one."""
     markers = markers or COMPOSE_FILES
     p = F.col(path_col)
-    marked = (files.where(base_name(p).isin(markers) & F.col(path_col).contains("/"))
-              .select(dir_name(p).alias("directory")).distinct())
-    anc = marked.select("directory", F.explode(ancestors("directory")).alias("_anc"))
+    inside = F.when(p.contains("/"), dir_name(p)).otherwise(F.lit(""))  # the listing's root is ''
+    marked = files.where(base_name(p).isin(markers)).select(inside.alias("directory")).distinct()
+    above = F.array_union(F.array(F.lit("")), ancestors("directory"))
+    anc = marked.where("directory <> ''").select("directory", F.explode(above).alias("_anc"))
     shadowed = anc.join(marked.select(F.col("directory").alias("_anc")), "_anc", "left_semi") \
                   .select("directory").distinct()
     roots = marked.join(shadowed, "directory", "left_anti")

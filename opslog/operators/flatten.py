@@ -8,6 +8,8 @@ whole-group window).
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
 from opslog.functions import fmt
@@ -43,6 +45,7 @@ def align(df, key, cols: list[str], spec: str, out_prefix: str = "a_"):
         return df.select("*", *[F.col(c).alias(out_prefix + c) for c in cols])
     stripped = df.select("*", *[fmt.strip(c).alias(f"_s_{c}") for c in cols])
     widths = stripped.groupBy(*keys).agg(*[F.max(F.length(f"_s_{c}")).alias(f"_w_{c}") for c in cols])
-    j = stripped.join(widths, keys)
+    widths = widths.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[f"_w_{c}" for c in cols])
+    j = stripped.join(widths, functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]))
     outs = [fmt.ALIGNERS[a](f"_s_{c}", F.col(f"_w_{c}")).alias(out_prefix + c) for a, c in zip(spec2, cols)]
     return j.select(*df.columns, *outs)

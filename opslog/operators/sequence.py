@@ -26,7 +26,7 @@ def executed_prefix(df: DataFrame, key: str, order: str, ok: str = "ok", out: st
     """G1: rows up to and including the first failure of each group; later rows never ran."""
     first_fail = (df.where(~F.coalesce(F.col(ok), F.lit(False)))
                   .groupBy(key).agg(F.min(order).alias("_first_fail")))
-    j = df.join(first_fail, key, "left")
+    j = df.join(first_fail.withColumnRenamed(key, "_key"), F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
     return j.withColumn(out, F.col("_first_fail").isNull() | (F.col(order) <= F.col("_first_fail"))) \
             .drop("_first_fail")
 
@@ -63,7 +63,7 @@ def cumulative_pct(chunks: DataFrame, file: str = "file", seq: str = "seq", nbyt
                    filesize: str = "filesize") -> DataFrame:
     """Running uploaded bytes and ``min(int(uploaded / size * 100), 100)`` (double arithmetic)."""
     d = ordered_scan(chunks, file, seq, value=nbytes, rn_col="_i", cum_col="uploaded").drop("_i")
-    pct = F.least((F.col("uploaded") / F.col(filesize) * 100).cast("int"), F.lit(100))
+    pct = F.least(F.try_divide(F.col("uploaded").cast("double"), F.col(filesize).cast("double")) * 100, F.lit(100.0)).cast("int")  # an empty file is all there: 100
     return d.withColumn("pct", pct)
 
 

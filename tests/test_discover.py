@@ -94,3 +94,9 @@ def test_free_slot_range_strategy(spark):
     req = spark.createDataFrame([("b", i) for i in range(4)] + [("c", 0)], "base string, seq long")
     got = sorted((r.base, r.seq, r.slot) for r in free_slot(req, ex, strategy="range").collect())
     assert got == [("b", 0, 2), ("b", 1, 4), ("b", 2, 5), ("b", 3, 6), ("c", 0, 0)]
+
+
+def test_marked_root_is_a_root_and_hides_what_is_below(spark):
+    rows = [("compose.yml",), ("a/compose.yml",), ("a/b/x.txt",)]
+    got = marker_roots(spark.createDataFrame(rows, "path string")).select("directory").collect()
+    assert [r.directory for r in got] == [""]

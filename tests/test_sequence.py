@@ -107,3 +107,12 @@ def test_ordered_scan_range_equals_window(spark):
     ga = sorted((r.k, r.s, r.rn, r.cum) for r in a.collect())
     gb = sorted((r.k, r.s, r.rn, r.cum) for r in b.collect())
     assert ga == gb and len(ga) == 5000
+
+
+def test_null_key_is_cut_and_odd_sizes_do_not_fail(spark):
+    from opslog.operators.sequence import cumulative_pct, executed_prefix
+    df = spark.createDataFrame([(None, 1, True), (None, 2, False), (None, 3, True), ("a", 1, True)], "k string, o int, ok boolean")
+    assert sorted(((r.k, r.o, r.executed) for r in executed_prefix(df, "k", "o").collect()), key=str) == sorted(
+        [(None, 1, True), (None, 2, True), (None, 3, False), ("a", 1, True)], key=str)
+    up = spark.createDataFrame([("f", 1, 5, 0), ("g", 1, 1 << 60, 1)], "file string, seq int, bytes long, filesize long")
+    assert {r.file: r.pct for r in cumulative_pct(up).collect()} == {"f": 100, "g": 100}
