@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opslog.functions.paths import base_name, dir_name
-from opslog.operators import scan as _scan
 from opslog.operators.scan import ordered_scan
 
 # File names that mark a service directory.
@@ -61,28 +60,25 @@ def backup_upload_join(archives: DataFrame, uploads: DataFrame, key: str = "arch
 
 
 def free_slot(requests: DataFrame, existing: DataFrame, base_col: str = "base", order_cols=("seq",),
-              slot_col: str = "slot", strategy: str = "auto") -> DataFrame:
+              slot_col: str = "slot") -> DataFrame:
     """The k-th request for a base gets the k-th unused slot number (0 = the base itself).
 
     Existing slots are ``(base, slot)`` rows.  With existing slots e_1 < e_2 < ...
     the number of free slots below e_j is ``g_j = e_j - (j - 1)``; request r
     (0-based) lands on ``r + j`` where j counts the existing slots with
     ``g_j <= r``.  That count is an as-of lookup, done by one ordered pass over
-    requests and existing slots together, so no candidate list is generated.
+    requests and existing slots together, so no candidate list is generated;
+    requests carry their columns through it.
     """
     ex = existing.select(base_col, F.col(slot_col).cast("bigint").alias("_e")).distinct()
-    if strategy == "auto":  # one decision for the three scans: is any base hot?
-        sizes = requests.groupBy(base_col).count().unionByName(ex.groupBy(base_col).count())
-        biggest = sizes.groupBy(base_col).agg(F.sum("count").alias("n")).agg(F.max("n")).first()[0] or 0
-        strategy = "window" if biggest <= _scan.HOT_KEY_ROWS else "range"
-    ex = ordered_scan(ex, base_col, "_e", rn_col="_j0", strategy=strategy).withColumn("_g", F.col("_e") - (F.col("_j0") - 1))
-    req = ordered_scan(requests, base_col, list(order_cols), rn_col="_r0", strategy=strategy).withColumn("_r", F.col("_r0") - 1)
+    ex = ordered_scan(ex, base_col, "_e", rn_col="_j0")
+    req = ordered_scan(requests, base_col, list(order_cols), rn_col="_r0")
     # events sorted by (position, kind): an existing slot with g_j <= r precedes request r
-    evs = (ex.select(base_col, F.col("_g").alias("_pos"), F.lit(0).alias("_kind"), F.lit(1).alias("_cnt"))
-           .unionByName(req.select(base_col, F.col("_r").alias("_pos"), F.lit(1).alias("_kind"),
-                                   F.lit(0).alias("_cnt"))))
-    counted = (ordered_scan(evs, base_col, ["_pos", "_kind"], value="_cnt", cum_col="_j", strategy=strategy)
-               .where(F.col("_kind") == 1).select(base_col, F.col("_pos").alias("_r"), "_j"))
-    return (req.join(counted, [base_col, "_r"])
-            .withColumn(slot_col, (F.col("_r") + F.col("_j")).cast("bigint"))
-            .drop("_r", "_r0", "_j"))
+    row = F.struct(*requests.columns)
+    evs = (ex.select(base_col, (F.col("_e") - (F.col("_j0") - 1)).alias("_pos"), F.lit(0).alias("_kind"), "_e",
+                     F.lit(1).alias("_cnt"), F.lit(None).cast(requests.select(row).schema[0].dataType).alias("_row"))
+           .unionByName(req.select(base_col, (F.col("_r0") - 1).alias("_pos"), F.lit(1).alias("_kind"),
+                                   F.lit(0).cast("bigint").alias("_e"), F.lit(0).alias("_cnt"), row.alias("_row"))))
+    counted = ordered_scan(evs, base_col, ["_pos", "_kind", "_e"], value="_cnt", cum_col="_j").where(F.col("_kind") == 1)
+    return counted.select(*[F.col(f"_row.{c}").alias(c) for c in requests.columns],
+                          (F.col("_pos") + F.col("_j")).cast("bigint").alias(slot_col))

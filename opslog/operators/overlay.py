@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslog.operators.select import DEFAULT_MAX_BROADCAST, glob_pairs
+from opslog.operators.select import glob_pairs
 
 
 def overlay_rows(overlays: DataFrame) -> DataFrame:
@@ -21,15 +21,15 @@ def overlay_rows(overlays: DataFrame) -> DataFrame:
     return overlays.select("ord", "pattern", "k", "v")
 
 
-def env_overlay(names: DataFrame, overlays: DataFrame, name_col: str = "name",
-                max_broadcast: int = DEFAULT_MAX_BROADCAST) -> DataFrame:
+def env_overlay(names: DataFrame, overlays: DataFrame, name_col: str = "name") -> DataFrame:
     """``(name, env)``; every overlay whose glob matches contributes, later ``ord`` wins per key.
 
     A name no overlay matches gets an empty map.
     """
     distinct = names.select(name_col).where(F.col(name_col).isNotNull()).distinct()
     rows = overlay_rows(overlays)
-    pairs = glob_pairs(distinct, name_col, rows, "pattern", max_broadcast)
+    patterns = overlays.select("pattern").where(F.col("pattern").isNotNull()).distinct()
+    pairs = glob_pairs(distinct, name_col, patterns, "pattern").join(rows, "pattern")
     per_key = (pairs.where(F.col("k").isNotNull())
                .groupBy(name_col, "k").agg(F.max_by("v", "ord").alias("v")))
     env = per_key.groupBy(name_col).agg(

@@ -3,130 +3,61 @@
 A window ``row_number() / sum() OVER (PARTITION BY key ORDER BY o)`` runs each
 key in one task, so a key holding a third of the data is a third of the job
 in one sequential task, and AQE cannot split it.  ``ordered_scan`` computes
-the same running row number and running total without that limit:
+the same running row number and running total without that limit, by one path
+for every input:
 
 1. ``repartitionByRange(key, order)``: the sampled range bounds split a hot key
-   across as many partitions as its share of the data needs.
-2. One Arrow-batched ``mapInPandas`` pass numbers and sums rows per key inside
-   each (sorted) partition, carrying the last key across batches.
-3. Per (partition, key) totals come from a grouped aggregate of the stored
-   local result.  Only the first key of a partition can continue from
-   earlier partitions, so the offset table has at most one row per partition:
-   a size bound that does not grow with the data, which makes it safe to
-   broadcast back onto the rows.
-
-When no key is hot, a plain window is cheaper, and ``strategy="auto"`` picks it.
+   across as many partitions as its share of the data needs.  The rows are
+   written once with the number of their range as a column.  The bounds are
+   sampled anew each time a plan runs, so the rows and their totals have to
+   come from one stored split.
+2. A window per (range, key) numbers and sums the rows inside each range.
+3. A grouped aggregate gives the totals per (range, key); a window over those
+   few rows (one per key, and one more per range that a key crosses) gives what
+   lies before each range, and one join on (range, key) adds it.
+
+Keys compare as one struct, so null keys form a group like any other, and all
+numbers stay exact 64-bit integers.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from opslog.session import materialize
 
 
 def _as_list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def _local_scan(keys: list[str], value: str | None):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        carry_key, carry_n, carry_sum = None, 0, 0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            g = pdf.groupby(keys, sort=False, dropna=False)
-            rn = g.cumcount().to_numpy(dtype=np.int64) + 1
-            if value:  # nulls add nothing, as in SQL sum
-                cum = pdf[value].fillna(0).astype(np.int64).groupby(
-                    [pdf[k] for k in keys], sort=False, dropna=False).cumsum().to_numpy(dtype=np.int64)
-            else:
-                cum = np.zeros(len(pdf), dtype=np.int64)
-            first_key = tuple(pdf.iloc[0][k] for k in keys)
-            if carry_key is not None and first_key == carry_key:
-                head = np.ones(len(pdf), dtype=bool)
-                for k, v in zip(keys, first_key):
-                    head &= (pdf[k].to_numpy() == v)
-                rn = rn + np.where(head, carry_n, 0)
-                cum = cum + np.where(head, carry_sum, 0)
-            last = pdf.iloc[-1]
-            carry_key = tuple(last[k] for k in keys)
-            carry_n, carry_sum = int(rn[-1]), int(cum[-1])
-            out = pdf.assign(_pid=np.int32(pid), _lrn=rn, _lcum=cum)
-            yield out
-    return run
-
-
-# Rows one window task handles comfortably; above this a key is "hot".
-HOT_KEY_ROWS = 2_000_000
-
-
 def ordered_scan(df: DataFrame, key, order, value: str | None = None, rn_col: str = "_rn",
-                 cum_col: str | None = None, strategy: str = "auto", hot_key_rows: int | None = None,
-                 num_partitions: int | None = None, count_col: str | None = None) -> DataFrame:
-    """Add the 1-based position of each row within its key (by ``order``) and, if ``value`` is
+                 cum_col: str | None = None, num_partitions: int | None = None, count_col: str | None = None) -> DataFrame:
+    """Add the 1-based position of each row within its key (by ``order``) and, if ``cum_col`` is
     given, the running total of ``value`` up to and including the row.
 
-    ``strategy``: ``window`` (one task per key), ``range`` (hot keys split over
-    many tasks) or ``auto`` (one grouped count picks ``range`` only when some
-    key exceeds ``hot_key_rows``).  ``order`` should make rows of a key
-    distinct for positions to be deterministic.  ``count_col`` also adds the
-    number of rows of the key: a window count sharing the row number's
-    partitioning, or a grouped count joined back on the range path.
+    ``order`` should make rows of a key distinct for positions to be
+    deterministic.  Null keys are one key, null values add nothing.
+    ``count_col`` also adds the number of rows of the key.
     """
     keys, orders = _as_list(key), _as_list(order)
-    if strategy == "auto":
-        limit = HOT_KEY_ROWS if hot_key_rows is None else hot_key_rows
-        biggest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-        strategy = "window" if biggest <= limit else "range"
-    if strategy == "window":
-        w = Window.partitionBy(*keys).orderBy(*orders)
-        out = df.withColumn(rn_col, F.row_number().over(w).cast("bigint"))
-        if cum_col:
-            frame = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            out = out.withColumn(cum_col, F.coalesce(F.sum(value).over(frame), F.lit(0)).cast("bigint"))
-        if count_col:
-            out = out.withColumn(count_col, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-        return out
-    if strategy != "range":
-        raise ValueError(f"unknown strategy {strategy!r}")
-
-    if count_col:
-        df = df.join(df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col)), keys)
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *keys, *orders).sortWithinPartitions(*keys, *orders)
-    out_schema = T.StructType(ranged.schema.fields + [
-        T.StructField("_pid", T.IntegerType()), T.StructField("_lrn", T.LongType()),
-        T.StructField("_lcum", T.LongType())])
-    # The local pass is written once to the shared checkpoint folder with its partition id
-    # as a column: totals and rows then come from the same stored result, so a re-run of
-    # the range sampling (seeded per RDD) can never disagree with the offsets.
-    from opslog.session import checkpoint_path
-    path = checkpoint_path(spark, f"scan-{uuid.uuid4().hex}")
-    ranged.mapInPandas(_local_scan(keys, value), out_schema).write.parquet(path)
-    local = spark.read.parquet(path)
-
-    part_totals = local.groupBy("_pid", *keys).agg(F.max("_lrn").alias("_pn"),
-                                                   F.max_by("_lcum", "_lrn").alias("_psum"))
-    w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (part_totals
-               .select(F.col("_pid").alias("_opid"), *[F.col(k).alias(f"_o_{k}") for k in keys],
-                       F.sum("_pn").over(w).alias("_off_n"), F.sum("_psum").over(w).alias("_off_sum"))
-               .where(F.col("_off_n").isNotNull()))
-    # only the first key of a partition can continue from earlier partitions: at most one
-    # offset row per partition, a bound independent of the data size, so it is broadcast
-    cond = local["_pid"] == offsets["_opid"]
-    for k in keys:
-        cond = cond & local[k].eqNullSafe(offsets[f"_o_{k}"])
-    j = local.join(F.broadcast(offsets), cond, "left")
-    return j.select(*df.columns, (F.col("_lrn") + F.coalesce("_off_n", F.lit(0))).alias(rn_col),
-                    *([(F.col("_lcum") + F.coalesce("_off_sum", F.lit(0))).cast("bigint").alias(cum_col)]
-                      if cum_col else []))
+    spread = df.repartitionByRange(*([num_partitions] if num_partitions else []), *keys, *orders)
+    local = materialize(spread.withColumn("_range", F.spark_partition_id()), "scan").withColumn("_key", F.struct(*keys))
+
+    here = Window.partitionBy("_range", "_key")
+    upto = here.orderBy(*orders).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    amount = F.col(value).cast("bigint") if cum_col else F.lit(0).cast("bigint")
+    rows = local.withColumn("_at", F.row_number().over(here.orderBy(*orders)))
+    if cum_col:
+        rows = rows.withColumn("_upto", F.coalesce(F.sum(amount).over(upto), F.lit(0)))
+
+    totals = local.groupBy("_range", "_key").agg(F.count("*").alias("_n"), F.coalesce(F.sum(amount), F.lit(0)).alias("_sum"))
+    before = Window.partitionBy("_key").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_range", "_key", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n_before"),
+                            F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_sum_before"),
+                            F.sum("_n").over(Window.partitionBy("_key")).alias("_n_key"))
+    found = rows.join(offsets, ["_range", "_key"])
+    return found.select(*df.columns, (F.col("_at") + F.col("_n_before")).cast("bigint").alias(rn_col),
+                        *([(F.col("_upto") + F.col("_sum_before")).cast("bigint").alias(cum_col)] if cum_col else []),
+                        *([F.col("_n_key").cast("bigint").alias(count_col)] if count_col else []))

@@ -1,12 +1,11 @@
 """Selecting rows by glob selectors and by outcome (operators C2-C6).
 
-Selectors held as data (C3) are matched with a theta join split into routes:
-plain-text selectors go through an equi-join (hash or broadcast, Catalyst
-decides); globs with a literal prefix are equi-joined on the first one to
-three characters of the name, with the compiled regex as a residual
-condition; only globs starting with a wildcard need a nested-loop join, and
-those are broadcast in chunks of at most ``max_broadcast`` selectors (a
-counted size), so no broadcast grows with the data.
+Selectors held as data (C3) are matched by one equi-join: a selector is keyed
+by some literal text that each of its matches must hold (the whole name, its
+first or last characters, or some inside), a name by all such texts it holds,
+and the compiled regex is the residual condition.  No selector is compared
+with names that do not share its key, and nothing is counted or broadcast by
+the plan's author.
 """
 
 from __future__ import annotations
@@ -18,8 +17,6 @@ from pyspark.sql import types as T
 
 from opslog.functions.globs import any_glob, glob_to_regex
 
-DEFAULT_MAX_BROADCAST = 10_000
-
 
 @F.pandas_udf(T.StringType())
 def glob_regex(patterns: pd.Series) -> pd.Series:
@@ -38,93 +35,75 @@ def select_by_globs(df: DataFrame, name_col: str, patterns: list[str], sort: boo
     return out.orderBy(name_col) if sort else out
 
 
-# Globs with a literal prefix are equi-joined on up to this many leading characters.
-PREFIX_KEY_MAX = 3
+# A selector is keyed by up to this many characters of its literal text.
+KEY_CHARS = 3
 
 
-def _compiled(patterns: DataFrame, pattern_col: str) -> DataFrame:
-    lp = F.regexp_extract(F.col(pattern_col), r"^([^*?\[]*)", 1)
-    return patterns.select(
-        "*",
-        is_plain(pattern_col).alias("_plain"),
-        glob_regex(F.col(pattern_col)).alias("_regex"),
-        F.least(F.length(lp), F.lit(PREFIX_KEY_MAX)).alias("_plen"),
-        F.substring(lp, 1, PREFIX_KEY_MAX).alias("_lp"),
-    )
+def _keyed(patterns: DataFrame, pattern_col: str) -> DataFrame:
+    """Each selector with its anchored regex and one join key, a (kind, text) pair.
 
+    The key is the best literal text that every match must hold: the whole name,
+    the first characters, the last ones, or some inside.  A selector without any
+    literal text has the key of all names.
+    """
+    p = F.col(pattern_col)
+    open_text = F.regexp_replace(p, r"\[!?\]?[^\]]*\]", "*")  # a character set is no literal text
+    head = F.regexp_extract(open_text, r"^([^*?\[]*)", 1)
+    tail = F.regexp_extract(open_text, r"([^*?\[]*)$", 1)
+    inner = F.regexp_extract(open_text, r"([^*?\[]+)", 1)
 
-def _chunks(glob_pats: DataFrame, n: int, max_broadcast: int) -> list[DataFrame]:
-    """Split leading-wildcard selectors into broadcastable chunks (``n`` is their counted size)."""
-    if n == 0:
-        return []
-    if n <= max_broadcast:
-        return [glob_pats]
-    n_chunks = -(-n // max_broadcast)
-    keyed = glob_pats.withColumn("_chunk", F.pmod(F.xxhash64("_regex"), F.lit(n_chunks)))
-    return [keyed.where(F.col("_chunk") == i).drop("_chunk") for i in range(n_chunks)]
+    def key(kind: str, text: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), text.alias("text"))
 
+    best = (F.when(is_plain(p), key("whole", p))
+            .when(head != "", key("head", F.substring(head, 1, KEY_CHARS)))
+            .when(tail != "", key("tail", F.reverse(F.substring(F.reverse(tail), 1, KEY_CHARS))))
+            .when(inner != "", key("inner", F.substring(inner, 1, KEY_CHARS)))
+            .otherwise(key("all", F.lit(""))))
+    return patterns.select("*", glob_regex(p).alias("_regex"), best.alias("_key"))
 
-def _name_keys(name: Column) -> Column:
-    """Join keys of a name: its distinct 1..PREFIX_KEY_MAX-character prefixes and the name itself."""
-    return F.array_distinct(F.array(*[F.substring(name, 1, n) for n in range(1, PREFIX_KEY_MAX + 1)], name))
 
+def _name_keys(name: Column) -> Column:
+    """All keys under which a selector can find a name; their number is bounded by the name's length."""
+    def keys(kind: str, texts: Column) -> Column:
+        return F.transform(texts, lambda t: F.struct(F.lit(kind).alias("kind"), t.alias("text")))
+
+    sizes = range(1, KEY_CHARS + 1)
+    back = F.reverse(name)
+    starts = F.when(F.length(name) > 0, F.sequence(F.lit(1), F.length(name))).otherwise(F.array().cast("array<int>"))
+    inner = F.flatten(F.transform(starts, lambda i: F.array(*[F.substr(name, i, F.lit(n)) for n in sizes])))
+    return F.array_distinct(F.concat(
+        keys("whole", F.array(name)), keys("head", F.array(*[F.substring(name, 1, n) for n in sizes])),
+        keys("tail", F.array(*[F.reverse(F.substring(back, 1, n)) for n in sizes])),
+        keys("inner", inner), keys("all", F.array(F.lit("")))))
+
+
+def glob_pairs(names: DataFrame, name_col: str, patterns: DataFrame, pattern_col: str = "pattern") -> DataFrame:
+    """Every (name row, selector row) pair where the selector matches the name.
+
+    One equi-join on the keys of names and selectors, with the regex as the
+    residual condition: a selector has one key and a name holds each key once,
+    so every pair comes up at most once.
+    """
+    extra = [c for c in patterns.columns if c not in names.columns]
+    sel = _keyed(patterns.withColumn("_pattern", F.col(pattern_col)), "_pattern").select(*extra, "_regex", "_key")
+    exploded = names.select("*", F.explode(_name_keys(F.col(name_col))).alias("_name_key"))
+    found = exploded.join(sel, (F.col("_name_key") == F.col("_key")) & F.regexp_like(F.col(name_col), F.col("_regex")))
+    return found.select(*names.columns, *extra)
 
-def _glob_branches(names: DataFrame, name_col: str, comp: DataFrame, how: str, max_broadcast: int):
-    """Two matching routes.
 
-    * Selectors that start with literal text (plain names included) are keyed by
-      that text cut to ``PREFIX_KEY_MAX`` characters (a plain name by its whole
-      text); each name is exploded into its short prefixes and itself, and one
-      equi-join on the key with the anchored regex as residual condition does
-      the matching.
-    * Selectors that start with a wildcard have no key; they are matched by a
-      broadcast nested-loop join in chunks of at most ``max_broadcast``
-      (a counted size).
-    """
-    name = F.col(name_col)
-    keyed = comp.where(F.col("_plain") | (F.col("_plen") > 0)).withColumn(
-        "_key", F.when(F.col("_plain"), F.col("_pattern")).otherwise(F.substring("_lp", 1, PREFIX_KEY_MAX)))
-    exploded = names.select("*", F.explode(_name_keys(name)).alias("_nkey"))
-    cond = (F.col("_nkey") == F.col("_key")) & F.regexp_like(name, F.col("_regex"))
-    first = exploded.join(keyed, cond, how).drop("_nkey")
-    out = [first]
-    wild = comp.where(~F.col("_plain") & (F.col("_plen") == 0))
-    n_wild = wild.count()
-    for ch in _chunks(wild, n_wild, max_broadcast):
-        out.append(names.join(F.broadcast(ch), F.regexp_like(name, F.col("_regex")), how))
-    return out
-
-
-def select_by_glob_table(df: DataFrame, name_col: str, patterns: DataFrame, pattern_col: str = "pattern",
-                         max_broadcast: int = DEFAULT_MAX_BROADCAST) -> DataFrame:
+def select_by_glob_table(df: DataFrame, name_col: str, patterns: DataFrame, pattern_col: str = "pattern") -> DataFrame:
     """Rows matched by any selector held in ``patterns``; each row at most once.
 
     Matching runs on the distinct names; the rows are then kept by one equi
     semi-join, so a row matched by several selectors is still returned once.
     An empty selector table selects everything, as an empty selector list does.
     """
-    sel = patterns.select(F.col(pattern_col).alias("_pattern")).where(F.col("_pattern").isNotNull()).distinct()
-    comp = _compiled(sel, "_pattern")
-    if comp.isEmpty():
-        return df
+    given = patterns.select(F.col(pattern_col).alias("_pattern")).where(F.col("_pattern").isNotNull()).distinct()
+    everything = given.agg(F.count("*").alias("n")).where("n = 0").select(F.lit("*").alias("_pattern"))
     names = df.select(F.col(name_col).alias("_name")).where(F.col("_name").isNotNull()).distinct()
-    parts = _glob_branches(names, "_name", comp, "left_semi", max_broadcast)
-    matched = parts[0].select("_name")
-    for p in parts[1:]:
-        matched = matched.unionByName(p.select("_name"))
-    return df.join(matched.distinct(), F.col(name_col) == F.col("_name"), "left_semi")
-
-
-def glob_pairs(names: DataFrame, name_col: str, patterns: DataFrame, pattern_col: str = "pattern",
-               max_broadcast: int = DEFAULT_MAX_BROADCAST) -> DataFrame:
-    """Every (name row, selector row) pair where the selector matches the name (theta inner join)."""
-    comp = _compiled(patterns.withColumn("_pattern", F.col(pattern_col)), "_pattern")
-    cols = names.columns + [c for c in patterns.columns if c not in names.columns]
-    parts = [p.select(*cols) for p in _glob_branches(names, name_col, comp, "inner", max_broadcast)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    matched = glob_pairs(names, "_name", given.unionByName(everything), "_pattern").select("_name").distinct()
+    return df.join(matched, F.col(name_col) == F.col("_name"), "left_semi")
 
 
 def where_success(df: DataFrame, col: str = "success") -> DataFrame:

@@ -4,12 +4,14 @@ Whole-group facts (first failure, group size, first timestamp) are computed
 with ``groupBy`` + join rather than a window over the whole group: the
 aggregate combines map-side and the join back is split by AQE when one key
 is hot.  Running positions (row numbers, running byte totals) come from
-``ordered_scan``, which range-partitions on (key, order) so a hot key is
-spread over many tasks instead of one window task.
+``ordered_scan``, which always range-partitions on (key, order) so a hot key
+is spread over many tasks instead of one window task.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -102,7 +104,8 @@ def progress_rate(emitted: DataFrame, firsts: DataFrame, file: str = "file", ts:
                   uploaded: str = "uploaded") -> DataFrame:
     """At each emission, elapsed since the upload began (at least 1 s) and floored bytes/s."""
     from opslog.operators.measures import elapsed_us, speed_bps
-    d = emitted.join(firsts, file)
+    begun = firsts.select(F.col(file).alias("_file"), "_start")
+    d = emitted.join(begun, F.col(file).eqNullSafe(F.col("_file"))).drop("_file")
     el = elapsed_us("_start", ts, mode="upload")
     return (d.withColumn("elapsed_us", el)
              .withColumn("speed", speed_bps(uploaded, "elapsed_us", F.lit(True)))
@@ -131,7 +134,9 @@ def first_match(df: DataFrame, key, order: str, predicate: Column, out: str = "f
     payload = [c for c in df.columns if c not in keys]
     firsts = (df.where(F.coalesce(predicate, F.lit(False)))
               .groupBy(*keys).agg(F.min_by(F.struct(*payload), F.col(order)).alias(out)))
-    return df.select(*keys).distinct().join(firsts, keys, "left")
+    firsts = firsts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], out)
+    same = functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    return df.select(*keys).distinct().join(firsts, same, "left").select(*keys, out)
 
 
 def union_sections(sections: list[DataFrame]) -> DataFrame:

@@ -20,8 +20,16 @@ def _c(x) -> Column:
 
 
 def as_map(js) -> Column:
-    """JSON object text -> map of key to value text (non-objects give null)."""
-    return F.from_json(_c(js), "map<string,string>")
+    """JSON object text -> map of key to value text, repeated keys kept; anything but one whole object gives null.
+
+    The parser stops after the first value, so text after the object would pass unseen.  Inside a list or an object of
+    one member such text is a syntax error, except a closing bracket of that same kind, which the other wrapping finds.
+    """
+    text = _c(js)
+    listed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<map<string,string>>")
+    member = F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), "map<string,map<string,string>>")
+    whole = (F.size(listed) == 1) & (F.size(member) == 1)
+    return F.when(whole, F.get(listed, F.lit(0)))
 
 
 def _str_array(values) -> Column:
@@ -33,8 +41,9 @@ def _tag(arr: Column, tag: str) -> Column:
 
 
 def require_fields(m, required: list[str]) -> Column:
-    """K1: one ``missing:<key>`` reason per absent mandatory key."""
-    return _tag(F.array_except(_str_array(required), F.coalesce(F.map_keys(_c(m)), _str_array([]))), "missing")
+    """K1: one ``missing:<key>`` reason per mandatory key that is absent or null."""
+    given = F.map_keys(F.map_filter(_c(m), lambda k, v: v.isNotNull()))
+    return _tag(F.array_except(_str_array(required), F.coalesce(given, _str_array([]))), "missing")
 
 
 def forbid_unexpected(m, allowed: list[str]) -> Column:
@@ -42,6 +51,13 @@ def forbid_unexpected(m, allowed: list[str]) -> Column:
     return _tag(F.array_except(F.coalesce(F.map_keys(_c(m)), _str_array([])), _str_array(allowed)), "unexpected")
 
 
+def unique_keys(m) -> Column:
+    """K2: one ``duplicate:<key>`` reason per key given more than once."""
+    keys = F.coalesce(F.map_keys(_c(m)), _str_array([]))
+    twice = F.filter(keys, lambda k, i: F.array_position(keys, k) <= i)
+    return _tag(F.array_distinct(twice), "duplicate")
+
+
 def _one(cond: Column, reason: str) -> Column:
     return F.when(F.coalesce(cond, F.lit(False)), F.array(F.lit(reason))).otherwise(_str_array([]))
 
@@ -74,8 +90,9 @@ def typed_rule(m, key: str, kind: str, enum_values: list[str] | None = None) ->
 
 def range_rule(m, key: str, lo: int, hi: int) -> Column:
     """K5: an integer value, when present, lies in ``[lo, hi]`` (null allowed)."""
-    v = F.try_element_at(_c(m), F.lit(key)).try_cast("bigint")
-    return _one(v.isNotNull() & ((v < lo) | (v > hi)), f"range:{key}")
+    v = F.try_element_at(_c(m), F.lit(key))
+    n = v.try_cast("decimal(38,0)")  # null for an integer of more digits: out of any range
+    return _one(is_int(v) & (n.isNull() | (n < lo) | (n > hi)), f"range:{key}")
 
 
 def nonempty_rule(m, key: str) -> Column:
@@ -104,7 +121,8 @@ class RecordSchema:
     nonempty: list[str] = field(default_factory=list)
 
     def reasons(self, m) -> Column:
-        parts = [require_fields(m, self.required), forbid_unexpected(m, self.required + self.optional)]
+        parts = [require_fields(m, self.required), forbid_unexpected(m, self.required + self.optional),
+                 unique_keys(m)]
         parts += [enum_rule(m, k, v) for k, v in self.enums.items()]
         parts += [typed_rule(m, k, *spec) for k, spec in self.types.items()]
         parts += [range_rule(m, k, lo, hi) for k, (lo, hi) in self.ranges.items()]

@@ -23,12 +23,14 @@ from opslog.operators.discover import free_slot, marker_roots
 from opslog.operators.flatten import explode_groups
 from opslog.operators.overlay import env_overlay
 from opslog.operators.select import select_by_globs
+from opslog.session import materialize
 
 
 def deploy_services(files: DataFrame, selectors: list[str], overlays: DataFrame,
                     path_col: str = "path") -> DataFrame:
     """``(name, kind, directory, env)`` for every selected service root."""
-    roots = select_by_globs(marker_roots(files, path_col), "name", selectors)
+    # names, matching and the result read the same few roots: the listing is searched once
+    roots = materialize(select_by_globs(marker_roots(files, path_col), "name", selectors), "roots")
     env = env_overlay(roots.select("name"), overlays)
     return roots.join(env, "name", "left").select(
         "name", "kind", "directory", F.coalesce("env", F.create_map().cast("map<string,string>")).alias("env"))

@@ -44,21 +44,3 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(sdf.columns) == sorted(ocols)
     assert len(srows) == len(orows)
     assert digest(sdf.columns, srows)[0] == digest(ocols, orows)[0]
-
-
-SCAN_QUERIES = ["g2_index_of_total", "g3_arrival_index", "g4_list_labels", "g5_cumulative_pct",
-                "g6_throttle_progress", "g7_progress_rate", "d6_free_slot", "j2_run_payload"]
-
-
-@pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
-@pytest.mark.parametrize("name", SCAN_QUERIES)
-def test_range_scan_path_matches_oracle(spark, con, name, monkeypatch):
-    """Force every key to count as hot: the range-partitioned scan must give the oracle's rows."""
-    from opslog.operators import scan
-    from tools.oracle_check import digest
-    monkeypatch.setattr(scan, "HOT_KEY_ROWS", 1)
-    sdf = entry.queries()[name](spark, SF)
-    srows = [tuple(r) for r in sdf.collect()]
-    cur = con.execute(entry.oracle_sql()[name])
-    ocols = [d[0] for d in cur.description]
-    assert digest(sdf.columns, srows)[0] == digest(ocols, cur.fetchall())[0]
