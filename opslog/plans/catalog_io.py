@@ -21,7 +21,7 @@ from opslog.plans.report import report_lines, run_outcomes, title_payload
 from opslog.session import checkpoint_path
 from opslog.sources import bindings as B
 from opslog.sources.sinks import archive_shards, fan_out, publish, scan_tree, snapshot_groups, write_report
-from opslog.streaming.throttle import (batch_dir_sink, stream_notify, stream_progress_log)
+from opslog.streaming.throttle import batch_dir_sink, latest_payloads, stream_notify, stream_progress_log, table_stream
 
 
 def _fresh(spark, tag: str) -> str:
@@ -37,7 +37,7 @@ def a1(spark, d):
 def a3(spark, d):
     docs = B.table(spark, d, "documents").select("doc_id", "lang", "source", "text")
     return snapshot_groups(docs, "lang", _fresh(spark, "snapshot"), fmt="json", codec="gz") \
-        .withColumnRenamed("rows", "n_rows")
+        .select("lang", F.col("rows").alias("n_rows"))
 
 
 @query("a4_archive_shards", """
@@ -94,10 +94,7 @@ def l2(spark, d):
 @query("l3_stream_notify", ORACLES["a7_notify_payloads"])
 def l3(spark, d):
     base = _fresh(spark, "notify")
-    schema = spark.read.parquet(os.path.join(d, "lineitem.parquet")).schema
-    li = (spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet")
-          .option("maxFilesPerTrigger", 1).parquet(d))
-    facts = facts_from(B.entries(spark, d, lineitem=li))
+    facts = facts_from(B.entries(spark, d, lineitem=table_stream(spark, d, "lineitem")))
     sinks = [batch_dir_sink(os.path.join(base, "a")), batch_dir_sink(os.path.join(base, "b"))]
-    stream_notify(facts, lambda b: title_payload(run_outcomes(b)), sinks, os.path.join(base, "ckpt"))
-    return spark.read.schema("run_id long, payload string").json(os.path.join(base, "a")).select("run_id", "payload")
+    stream_notify(run_outcomes(facts), title_payload, sinks, os.path.join(base, "ckpt"))
+    return latest_payloads(spark, os.path.join(base, "a"))

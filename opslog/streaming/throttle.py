@@ -6,10 +6,10 @@ emits a progress row whenever the throttle rule fires (the batch form is G6).
 Chunks of one file must arrive in ``seq`` order across micro-batches (as the
 upload callback delivers them); inside a micro-batch they are sorted.
 
-L2 appends every emitted row to a sink partitioned by file; L3 turns each
-micro-batch of finished runs into payloads and hands them to several sinks
-with ``foreachBatch``, writing per batch id so a replayed batch overwrites
-itself instead of duplicating.
+L2 appends every emitted row to a sink partitioned by file; L3 keeps the
+outcome of each run as aggregation state and hands the payloads of changed
+runs to several sinks with ``foreachBatch``, writing per batch id so a
+replayed batch overwrites itself instead of duplicating.
 """
 
 from __future__ import annotations
@@ -37,7 +37,8 @@ def _throttle_group(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Ite
     seqs = batch["seq"].to_numpy()
     sizes = batch["filesize"].to_numpy(dtype=np.float64)
     running = uploaded + np.cumsum(batch["bytes"].to_numpy(dtype=np.int64))
-    pct = np.minimum((running / sizes * 100).astype(np.int64), 100)
+    part = np.divide(running, sizes, out=np.ones(len(sizes)), where=sizes != 0) * 100  # an empty file is all there
+    pct = np.minimum(part, 100).astype(np.int64)
     keep = []
     for i, p in enumerate(pct):
         if p >= last + THROTTLE_STEP or (p == 100 and last != 100):
@@ -61,11 +62,22 @@ def stream_throttle(chunks: DataFrame, file: str = "file") -> DataFrame:
         _throttle_group, EMIT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One parquet table (a file or a folder of part files) as a stream.
+
+    A pattern that only the table's own name matches: the file source takes a
+    plain path for a folder, while a pattern may match a file as well.
+    """
+    schema = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")).schema
+    return spark.readStream.schema(schema).parquet(os.path.join(sf_dir, f"{name}.parque[t]"))
+
+
 def chunk_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``chunks`` binding as a stream: event rows joined to per-file sizes (stream-static join)."""
-    ev_schema = spark.read.parquet(os.path.join(sf_dir, "events.parquet")).schema
-    ev = (spark.readStream.schema(ev_schema).option("pathGlobFilter", "events.parquet")
-          .option("maxFilesPerTrigger", 1).parquet(sf_dir))
+    """The ``chunks`` binding as a stream: event rows joined to per-file sizes (stream-static join).
+
+    All part files that are there are one micro-batch: chunks of an upload may be spread over them in any order.
+    """
+    ev = table_stream(spark, sf_dir, "events")
     chunks = ev.select(F.col("user_id").alias("file"), F.col("event_id").alias("seq"), "ts",
                        F.round(F.col("value") * 100).cast("bigint").alias("bytes"))
     sizes = (spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
@@ -103,22 +115,42 @@ def stream_progress_log(spark: SparkSession, sf_dir: str, run_name: str,
     return spark.read.schema(EMIT_SCHEMA).parquet(os.path.join(base, "out"))
 
 
-def stream_notify(stream_df: DataFrame, to_payloads, sinks: list, ckpt: str) -> None:
-    """L3: per micro-batch, build payloads once and hand them to every sink with the batch id."""
+def stream_consume(stream_df: DataFrame, consumers: list, ckpt: str, prepare=None, mode: str = "append") -> None:
+    """Hand each micro-batch, prepared once, to every consumer as ``consumer(rows, batch_id)`` (M3).
+
+    ``stream_df`` may be the emitted progress of L1 or a streaming aggregate
+    (``mode="update"``: each batch holds the groups that changed).
+    """
 
     def each_batch(batch: DataFrame, batch_id: int):
-        payloads = to_payloads(batch).persist()
+        rows = (prepare(batch) if prepare else batch).persist()
         try:
-            for sink in sinks:
-                sink(payloads, batch_id)
+            for consumer in consumers:
+                consumer(rows, batch_id)
         finally:
-            payloads.unpersist()
+            rows.unpersist()
 
-    q = (stream_df.writeStream.foreachBatch(each_batch).option("checkpointLocation", ckpt)
+    q = (stream_df.writeStream.outputMode(mode).foreachBatch(each_batch).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
+def stream_notify(runs: DataFrame, to_payloads, sinks: list, ckpt: str) -> None:
+    """L3: payloads of the runs that a micro-batch changed, handed to every sink with the batch id.
+
+    ``runs`` is a streaming aggregate with one row per run, so a run whose
+    entries arrive in several batches keeps its outcome as state, and its later
+    payload replaces the earlier one (``latest_payloads``).
+    """
+    stream_consume(runs, sinks, ckpt, to_payloads, "update")
+
+
+def latest_payloads(spark: SparkSession, dest: str, schema: str = "run_id long, payload string", key: str = "run_id") -> DataFrame:
+    """The payload of each run in its last batch, from a folder written by ``batch_dir_sink``."""
+    sent = spark.read.schema(schema + ", batch_id long").json(dest)
+    return sent.groupBy(key).agg(F.max_by("payload", "batch_id").alias("payload"))
+
+
 def batch_dir_sink(dest: str, fmt: str = "json"):
     """A sink writing each batch to ``dest/batch_id=<n>`` (overwrite: replays are idempotent)."""
     def sink(df: DataFrame, batch_id: int):
