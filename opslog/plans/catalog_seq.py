@@ -17,8 +17,9 @@ from opslog.plans.facts import entry_facts, sql_base_name, sql_fmt_duration, wit
 from opslog.plans.registry import query
 from opslog.functions.fmt import sym
 from opslog.plans.report import details_by_kind, notify_payloads, report_lines
+from opslog.session import scratch_path
 from opslog.sources import bindings as B
-from opslog.sources.oplog import format_log_line, parse_oplog
+from opslog.sources.oplog import ASCTIME_PATTERN, format_log_line, parse_oplog, read_oplog
 
 # --------------------------------------------------------------------------------------------
 # G: sequences
@@ -387,7 +388,7 @@ def log_lines(spark, d):
     level = (F.when(F.col("kind") == "error", "ERROR").when(F.col("kind") == "signup", "WARNING")
              .when(F.col("kind") == "purchase", "CRITICAL").when(F.col("kind") == "view", "DEBUG").otherwise("INFO"))
     msg = F.concat(F.col("kind"), F.lit(" by "), F.col("run_id").cast("string"))
-    return st.select(F.col("seq").alias("line_id"), format_log_line("ts", level, msg).alias("value"))
+    return st.select(F.col("seq").alias("line_id"), "kind", format_log_line("ts", level, msg).alias("value"))
 
 
 _OPLOG_SQL = f"""
@@ -396,10 +397,16 @@ SELECT seq AS line_id, strftime(ts, '%Y-%m-%d %H:%M:%S') || ',' || lpad(CAST((ep
 FROM steps"""
 
 
-@query("a2_read_oplog", B.with_views("SELECT * FROM lg", steps=B.STEPS_SQL, lg=_OPLOG_SQL))
+# Steps that failed are logged with a second line, which has no header of its own.
+@query("a2_read_oplog", B.with_views("""
+SELECT ts_text, level, message FROM lg
+UNION ALL
+SELECT ts_text, level, '  step ' || CAST(line_id AS VARCHAR) FROM lg WHERE level = 'ERROR'""", steps=B.STEPS_SQL, lg=_OPLOG_SQL))
 def a2(spark, d):
-    p = parse_oplog(log_lines(spark, d), keep=["line_id"])
-    return p.select("line_id", "ts_text", "level", "message")
+    path = scratch_path(spark, "oplog")
+    more = F.when(F.col("kind") == "error", F.concat(F.lit("\n  step "), F.col("line_id").cast("string"))).otherwise(F.lit(""))
+    log_lines(spark, d).select(F.concat("value", more).alias("value")).write.text(path)
+    return read_oplog(spark, path).select(F.date_format("ts", ASCTIME_PATTERN).alias("ts_text"), "level", "message")
 
 
 @query("c6_min_level", B.with_views(

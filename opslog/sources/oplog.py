@@ -45,20 +45,22 @@ def parse_oplog(lines: DataFrame, col: str = "value", keep: list[str] | None = N
 def read_oplog(spark: SparkSession, path: str) -> DataFrame:
     """A2: read log files; continuation lines inherit the previous header's time and level.
 
-    Line order within a file comes from ``monotonically_increasing_id`` (line
-    splits of one file are read in order); the carry-forward window runs per
-    file, and a day's log file is the unit the handler rotates on.
+    Lines are ordered by (file, block, line_id): the file block that the line was
+    read from, and a number that grows along it.  The carry runs in a window per
+    block; one row per block then says which header its first lines continue, so
+    no task holds a whole file.  Lines before a file's first header have no time.
     """
-    raw = (spark.read.text(path)
-           .select(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("line_id"), "value"))
     v = F.col("value")
-    is_head = v.rlike(HEADER_RE)
-    parsed = raw.select(
-        "file", "line_id",
-        F.when(is_head, F.to_timestamp(F.regexp_extract(v, HEADER_RE, 1), ASCTIME_PATTERN)).alias("_ts"),
-        F.when(is_head, _level_name(F.regexp_extract(v, HEADER_RE, 2))).alias("_level"),
-        F.when(is_head, F.regexp_extract(v, HEADER_RE, 3)).otherwise(v).alias("message"),
-    )
-    w = Window.partitionBy("file").orderBy("line_id").rowsBetween(Window.unboundedPreceding, 0)
-    return parsed.select("file", "line_id", F.last("_ts", ignorenulls=True).over(w).alias("ts"),
-                         F.last("_level", ignorenulls=True).over(w).alias("level"), "message")
+    raw = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                                       F.monotonically_increasing_id().alias("line_id"), "value")
+    head = F.struct(F.to_timestamp(F.regexp_extract(v, HEADER_RE, 1), ASCTIME_PATTERN).alias("ts"),
+                    _level_name(F.regexp_extract(v, HEADER_RE, 2)).alias("level"))
+    lines = raw.select("file", "block", "line_id", F.when(v.rlike(HEADER_RE), head).alias("_head"),
+                       F.when(v.rlike(HEADER_RE), F.regexp_extract(v, HEADER_RE, 3)).otherwise(v).alias("message"))
+    ends = lines.groupBy("file", "block").agg(F.max_by("_head", F.when(F.col("_head").isNotNull(), F.col("line_id"))).alias("_end"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("file", "block", F.last("_end", ignorenulls=True).over(earlier).alias("_before"))
+    here = Window.partitionBy("file", "block").orderBy("line_id").rowsBetween(Window.unboundedPreceding, 0)
+    found = lines.withColumn("_here", F.last("_head", ignorenulls=True).over(here)).join(carried, ["file", "block"])
+    record = F.coalesce("_here", "_before")
+    return found.select("file", "block", "line_id", record["ts"].alias("ts"), record["level"].alias("level"), "message")
