@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from opslog.functions.fmt import strftime_to_spark, strip
+from opslog.functions.fmt import WHITESPACE, strftime_to_spark, strip
 
 
 def _c(x) -> Column:
@@ -69,9 +69,13 @@ def strip_base(col, base: str) -> Column:
     return F.substring(F.replace(_c(col), F.lit(base), F.lit("")), 2, 1 << 30)
 
 
+# Runs of white space as Python's str.split() sees it.
+_BLANKS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE) + "]+"
+
+
 def argv(col) -> Column:
     """Split a command line on runs of whitespace, dropping empty pieces."""
-    return F.filter(F.split(_c(col), r"\s+"), lambda x: x != "")
+    return F.filter(F.split(_c(col), _BLANKS), lambda x: x != "")
 
 
 def output_lines(col) -> Column:

@@ -16,6 +16,15 @@ RECORDS = [
     ('{"name":"a","provider":"tar","compress":"lz"}', ["type:compress"]),
     ('{"name":"a","provider":"rar","recovery":1001,"password":""}', ["empty:password", "range:recovery"]),
     ('[1,2]', ["not-an-object"]),
+    ('{"name":null,"provider":"tar"}', ["missing:name"]),
+    ('{"name":"a","name":"b","provider":"tar"}', ["duplicate:name"]),
+    ('{"name":"a","provider":"tar"} x', ["not-an-object"]),
+    ('{"name":"a","provider":"tar"}] x', ["not-an-object"]),
+    ('{"name":"a","provider":"tar"}} x', ["not-an-object"]),
+    ('{"name":"a","provider":"tar"}, {}', ["not-an-object"]),
+    ('{"name":"a","provider":"rar","compress":99999999999999999999}', ["range:compress"]),
+    ('{"name":"a","provider":"rar","compress":%s}' % ("9" * 50), ["range:compress"]),
+    (None, ["not-an-object"]),
 ]
 
 
@@ -53,7 +62,7 @@ def test_nested_get(spark, js, path, expected):
 
 
 def test_path_helpers(spark):
-    df = spark.createDataFrame([("~/docs/", "  rar  a -r\tx  ", "\n  one\ntwo  \n", "")],
+    df = spark.createDataFrame([("~/docs/", "  rar\u00a0 a\u2003-r\tx  ", "\n  one\ntwo  \n", "")],
                                "d string, cmd string, out string, empty string")
     r = df.select(expand_home("d", "/home/u").alias("h"), base_name("d").alias("b"), argv("cmd").alias("a"),
                   output_lines("out").alias("l"), output_lines("empty").alias("e"),
