@@ -10,10 +10,12 @@ with other walks and other samples raise the recall.
 Items are grouped by length; a class has windows of ``W`` words (a quarter to a
 half of its items, at most 32), taken at every offset of its items and, in the
 documents, at every ``W / 4``-th word, so that a passage holds several windows
-whatever its alignment.  The number of repetitions is the least that finds
-``TARGET`` of edited copies of the items themselves at the largest distance
-that counts.  Every hit is verified by the exact word edit distance of the item
-to its best place in the text around the hit.
+whatever its alignment.  Each class has its own number of repetitions: the least
+that finds ``TARGET`` of edited copies of the items themselves at the largest
+distance that counts, for every range of lengths in the class and for edits at
+random and at even distances alike.  A class that ``MAX_REPEATS`` repetitions
+do not bring there is an error.  Every hit is verified by the exact word edit
+distance of the item to its best place in the text around the hit.
 """
 
 from __future__ import annotations
@@ -27,7 +29,8 @@ from opslog.llm.common import doc_words, group_words, grouped, mix, slices, U64,
 SIMILARITY = 0.8
 MIN_WORDS = 5  # items with fewer words are no evidence of a leak and are not searched for
 SAMPLED = 6
-TARGET, MAX_REPEATS, TRIALS = 0.95, 8, 400
+TARGET, MAX_REPEATS, TRIALS = 0.95, 256, 400  # copies of each range of lengths and way of editing
+TRIAL_WORDS = 1 << 20  # about so many words of copies, where items are very long
 SLOTS = 1 << 16
 ITEM_BLOCK = 64 << 20  # bytes of item text that are indexed and broadcast at once
 FOUND = "doc_id long, item_id long, start long, length long, edits long, similarity double"
@@ -82,13 +85,7 @@ class ItemIndex:
         self.words = [words[i] for i in keep]
         self.classes = sorted({window_size(len(w)) for w in self.words})
         self.tables: dict[tuple[int, int], tuple] = {}
-        self.repeats = 0
-        while self.words and self.repeats < MAX_REPEATS:
-            for w in self.classes:
-                self.tables[w, self.repeats] = self._table(w, self.repeats)
-            self.repeats += 1
-            if self._recall() >= target:
-                break
+        self.repeats = {w: self._enough(w, target) for w in self.classes}
 
     def allowed(self, n: int) -> int:
         return int(n * (1 - self.similarity) + 1e-9)
@@ -106,42 +103,84 @@ class ItemIndex:
         slots[(keys & U64(SLOTS - 1)).astype(np.int64)] = True
         return keys[order], item[order], offset[order], slots
 
-    def _recall(self) -> float:
-        """Share of edited copies, between unrelated words, that some window hits; substitutions, insertions and deletions alike."""
+    def _copies(self, w: int):
+        """Edited copies, between unrelated words, of the items of a class: (item of each, word hashes, bounds).
+
+        A group for each range of lengths and way of editing: substitutions, insertions and deletions alike at random, and
+        substitutions at even distances.  The items are spread over the whole block.
+        """
         rng = np.random.default_rng(5)
-        hit = 0
-        trials = min(TRIALS, 4 * len(self.words))
-        for t in range(trials):
-            i = t % len(self.words)
-            copy = list(self.words[i])
-            for _ in range(self.allowed(len(copy))):
-                at, kind = int(rng.integers(len(copy))), int(rng.integers(3))
-                fresh = U64(rng.integers(1 << 62))
-                copy[at:at + (kind != 1)] = [fresh] if kind != 2 else []
-            lead = rng.integers(1 << 62, size=int(rng.integers(40))).astype(U64)
-            h = np.concatenate([lead, np.array(copy, U64), lead[:8]])
-            hit += any(x == i for x, _, _ in self.hits(h, np.array([0, len(h)])))
-        return hit / trials
+        ranges: dict[int, list[int]] = {}
+        for i, x in enumerate(self.words):
+            if window_size(len(x)) == w:
+                ranges.setdefault(min(len(x), 8 * w) * 4 // w, []).append(i)
+        for own in ranges.values():
+            longest = max(len(self.words[i]) for i in own)
+            trials = max(20, min(TRIALS, TRIAL_WORDS // longest))
+            chosen = np.resize(np.array(own)[np.linspace(0, len(own) - 1, min(trials, len(own))).astype(np.int64)], trials)
+            for even in (False, True):
+                parts = []
+                for i in chosen.tolist():
+                    copy = list(self.words[i])
+                    edits = self.allowed(len(copy))
+                    for e in range(edits):
+                        if even:
+                            copy[(2 * e + 1) * len(copy) // (2 * edits)] = U64(rng.integers(1 << 62))
+                            continue
+                        at, kind = int(rng.integers(len(copy))), int(rng.integers(3))
+                        fresh = U64(rng.integers(1 << 62))
+                        copy[at:at + (kind != 1)] = [fresh] if kind != 2 else []
+                    lead = rng.integers(1 << 62, size=int(rng.integers(40))).astype(U64)
+                    parts.append(np.concatenate([lead, np.array(copy, U64), lead[:8]]))
+                yield chosen, np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])])
+
+    def _enough(self, w: int, target: float) -> int:
+        """Builds a class's tables until ``target`` of each group of its edited copies is hit; the number of repetitions."""
+        repeat = 0
+        for chosen, h, bounds in self._copies(w):
+            doc, starts = self._windows(bounds, w)
+            missed, r = np.ones(len(chosen), bool), 0
+            while missed.sum() > (1 - target) * len(chosen):
+                if r == MAX_REPEATS:
+                    raise ValueError(f"{MAX_REPEATS} repetitions find {1 - missed.mean():.3f} of edited copies of items of "
+                                     f"{len(self.words[chosen[0]])} words, less than {target}")
+                if r == repeat:
+                    self.tables[w, r] = self._table(w, r)
+                    repeat += 1
+                on = missed[doc]
+                for x, d, _ in self._equal(h, doc[on], starts[on], w, r):
+                    if x == chosen[d]:
+                        missed[d] = False
+                r += 1
+        return repeat
+
+    @staticmethod
+    def _windows(bounds: np.ndarray, w: int):
+        """Document and first word of every window of the texts that is looked up for a class."""
+        size, stride = np.diff(bounds), w // 4
+        n = np.maximum(0, (size - w) // stride + 1)
+        doc = np.repeat(np.arange(len(size)), n)
+        return doc, bounds[doc] + (np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)) * stride
+
+    def _equal(self, h: np.ndarray, doc: np.ndarray, starts: np.ndarray, w: int, r: int):
+        """(item, document, first word the item would have) of every equal key of one class and repetition."""
+        if not len(starts):
+            return
+        keys, item, offset, slots = self.tables[w, r]
+        key = walk_keys(h, starts, w, r)
+        at = np.flatnonzero(slots[(key & U64(SLOTS - 1)).astype(np.int64)])
+        lo, hi = np.searchsorted(keys, key[at], "left"), np.searchsorted(keys, key[at], "right")
+        for p, a, b in zip(at[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist()):
+            for x in range(a, b):
+                yield int(item[x]), int(doc[p]), int(starts[p] - offset[x])
 
     def hits(self, h: np.ndarray, bounds: np.ndarray):
         """(item, document, first word the item would have) of every equal key."""
         out = set()
-        size = np.diff(bounds)
         for w in self.classes:
-            stride = w // 4
-            n = np.maximum(0, (size - w) // stride + 1)
-            doc = np.repeat(np.arange(len(size)), n)
-            starts = bounds[doc] + (np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)) * stride
-            if not len(starts):
-                continue
-            for r in range(self.repeats):
-                keys, item, offset, slots = self.tables[w, r]
-                key = walk_keys(h, starts, w, r)
-                at = np.flatnonzero(slots[(key & U64(SLOTS - 1)).astype(np.int64)])
-                lo, hi = np.searchsorted(keys, key[at], "left"), np.searchsorted(keys, key[at], "right")
-                for p, a, b in zip(at[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist()):
-                    for x in range(a, b):
-                        out.add((int(item[x]), int(doc[p]), int(starts[p] - offset[x])))
+            doc, starts = self._windows(bounds, w)
+            for r in range(self.repeats[w]):
+                out.update(self._equal(h, doc, starts, w, r))
         return out
 
     def search(self, h: np.ndarray, bounds: np.ndarray):

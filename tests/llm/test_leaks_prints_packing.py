@@ -61,6 +61,27 @@ def test_recall_of_edited_passages(spark):
     assert hit >= 190
 
 
+@pytest.mark.parametrize("n", [5, 20, 40, 64])
+def test_recall_of_evenly_edited_items_of_hard_lengths(n):
+    rnd = random.Random(n)
+    easy = [(10_000 + i, " ".join(f"e{rnd.randrange(20_000)}" for _ in range(14))) for i in range(500)]
+    items = [(i, " ".join(f"v{rnd.randrange(20_000)}" for _ in range(n))) for i in range(500)]
+    index, hit = ItemIndex(easy + items), 0
+    for i, t in items[-300:]:
+        w, d = t.split(), n // 5
+        for e in range(d):
+            w[(2 * e + 1) * n // (2 * d)] = f"changed{e}"
+        pad = [f"p{rnd.randrange(5000)}" for _ in range(rnd.randint(0, 40))]
+        h = doc_words(" ".join(pad + w + pad[:9]).encode())[2]
+        hit += any(r[1] == i for r in index.search(h, np.array([0, len(h)])))
+    assert hit >= 0.92 * 300
+
+
+def test_a_target_out_of_reach_is_an_error():
+    with pytest.raises(ValueError, match="repetitions find"):
+        ItemIndex([(1, "a b c d e")], target=1.01)
+
+
 def test_exact_passages_and_nothing_else(spark, docs):
     benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
     rows = docs.collect()
