@@ -33,7 +33,7 @@ TARGET, MAX_REPEATS, TRIALS = 0.95, 256, 400  # copies of each range of lengths
 TRIAL_WORDS = 1 << 20  # about so many words of copies, where items are very long
 SLOTS = 1 << 16
 ITEM_BLOCK = 64 << 20  # bytes of item text that are indexed and broadcast at once
-FOUND = "doc_id long, item_id long, start long, length long, edits long, similarity double"
+FOUND = "doc_id long, text_key long, item_id long, start long, length long, edits long, similarity double"
 
 
 def window_size(n: int) -> int:
@@ -217,6 +217,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
 
     The benchmark is read in blocks of ITEM_BLOCK bytes, each searched in all documents, so what is broadcast is bounded.
     """
+    return leaking_rows(docs, benchmark, similarity).drop("text_key")
+
+
+def leaking_rows(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``find_leaks`` with the column text_key, the xxhash64 of the row's text, which tells rows of one id apart."""
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null")
     size = items.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
@@ -227,7 +232,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
         part = _search(docs, spark.sparkContext.broadcast(ItemIndex(sorted((r.item_id, r.text) for r in own), similarity)))
         found = part if found is None else found.unionByName(part)
     best = F.min_by(F.struct("start", "length", "edits", "similarity"), F.struct("edits", "start", "length"))
-    return found if blocks == 1 else found.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.*")
+    return found if blocks == 1 else found.groupBy("doc_id", "text_key", "item_id").agg(best.alias("b")).select("doc_id", "text_key", "item_id", "b.*")
 
 
 def _search(docs: DataFrame, index) -> DataFrame:
@@ -235,7 +240,7 @@ def _search(docs: DataFrame, index) -> DataFrame:
         import pyarrow as pa
         items = index.value
         for batch in (part for whole in batches for part in slices(whole)):
-            ids, cells = batch.column(0), utf8_cells(batch.column(1))
+            ids, text_keys, cells = batch.column(0), batch.column(1), utf8_cells(batch.column(2))
             for a, b in grouped(cells):
                 bounds, _, _, h, _, _ = group_words(cells[a:b])
                 rows = items.search(h, bounds) if len(h) else []
@@ -245,8 +250,10 @@ def _search(docs: DataFrame, index) -> DataFrame:
                     for r in sorted(rows, key=lambda r: (r[4], r[2], r[3])):
                         one.setdefault((r[0], r[1]), r)
                     cols = list(zip(*sorted(one.values())))
+                    at = pa.array([d + a for d in cols[0]])
                     yield pa.RecordBatch.from_arrays(
-                        [ids.take(pa.array([d + a for d in cols[0]]))] + [pa.array(c, pa.int64()) for c in cols[1:5]]
-                        + [pa.array(cols[5], pa.float64())], names=["doc_id", "item_id", "start", "length", "edits", "similarity"])
+                        [ids.take(at), text_keys.take(at)] + [pa.array(c, pa.int64()) for c in cols[1:5]]
+                        + [pa.array(cols[5], pa.float64())], names=["doc_id", "text_key", "item_id", "start", "length", "edits", "similarity"])
 
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null").mapInArrow(scan, FOUND))
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+            .where("text is not null").mapInArrow(scan, FOUND))

@@ -234,16 +234,11 @@ def _block_links(large: DataFrame, texts: DataFrame, k: int, num: int, den: int,
             .sortWithinPartitions("token", "i", "j", "set_id").mapInArrow(link, "u long, v long"))
 
 
-def jaccard_components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, few: int = FEW, block: int = BLOCK) -> DataFrame:
-    """doc_id, n_shingles, component_id: documents linked when den * |intersection| >= num * |union| of their shingle sets.
-
-    One row per row of ``docs``.  Null and empty texts have empty sets and no links; a document with fewer than ``k``
-    words has its whole sequence as one shingle.  Rows that repeat an id are one document; a null id is linked with
-    nothing and its component is null.  Other columns of ``docs`` are ignored, whatever their names.
-    """
+def _marked(docs: DataFrame, k: int, num: int, den: int, few: int, block: int, null_ids: bool) -> DataFrame:
+    """doc_id, text_key, n, component of every row; rows with a null id give links only if ``null_ids``."""
     base = docs.select("doc_id", "text")
     sets = materialize(_document_sets(base, k, num, den), "sets")
-    filled = sets.where("n > 0 and doc_id is not null")
+    filled = sets.where("n > 0" if null_ids else "n > 0 and doc_id is not null")
     first = F.min(F.struct("doc_id", "text_key", "p1", "p2", "p3")).alias("f")
     reps = materialize(filled.groupBy("set_id", "sig", "n").agg(first).select("set_id", "n", "f.*"), "classes")
 
@@ -258,16 +253,43 @@ def jaccard_components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 10
 
     need = materialize(pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id")))
                        .unionByName(large.select("set_id")).distinct().join(reps.select("set_id", "doc_id", "text_key"), "set_id"), "needed")
-    texts = (base.select("doc_id", F.xxhash64("text").alias("text_key"), "text").where("text is not null")
-             .join(small_side(need), ["doc_id", "text_key"]).select("set_id", "text").dropDuplicates(["set_id"])
+    b, w = base.select("doc_id", F.xxhash64("text").alias("text_key"), "text").where("text is not null").alias("b"), small_side(need).alias("w")
+    same_id = F.col("b.doc_id").eqNullSafe(F.col("w.doc_id")) if null_ids else F.col("b.doc_id") == F.col("w.doc_id")
+    texts = (b.join(w, same_id & (F.col("b.text_key") == F.col("w.text_key"))).select("w.set_id", "b.text").dropDuplicates(["set_id"])
              .join(reps.select("set_id", "p2", "p3"), "set_id").select("set_id", "p2", "p3", "text"))
     texts = materialize(texts, "texts")
     edges = _pair_links(pairs, texts, k, num, den).unionByName(_block_links(large, texts, k, num, den, block))
 
     found = components(edges).select(F.col("node").alias("set_id"), "component")
-    marked = (sets.select("doc_id", "n", "set_id").join(found, "set_id", "left")
-              .withColumn("component", F.when(F.col("n") > 0, F.coalesce("component", "set_id"))))
+    return (sets.select("doc_id", "text_key", "n", "set_id").join(found, "set_id", "left")
+            .withColumn("component", F.when(F.col("n") > 0, F.coalesce("component", "set_id"))))
+
+
+def jaccard_components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, few: int = FEW, block: int = BLOCK) -> DataFrame:
+    """doc_id, n_shingles, component_id: documents linked when den * |intersection| >= num * |union| of their shingle sets.
+
+    One row per row of ``docs``.  Null and empty texts have empty sets and no links; a document with fewer than ``k``
+    words has its whole sequence as one shingle.  Rows that repeat an id are one document; a null id is linked with
+    nothing and its component is null.  Other columns of ``docs`` are ignored, whatever their names.
+    """
+    marked = _marked(docs, k, num, den, few, block, False)
     least = marked.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
     return (marked.join(least, "component", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("component_id")))
+
+
+def surplus_rows(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, few: int = FEW, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """Names (doc_id, text_key) of rows to drop so that each component keeps one, and of rows that stand there repeatedly.
+
+    A component, as above but over rows with null ids too, keeps the row with the smallest id (null after all others),
+    then the smallest text_key, the xxhash64 of the text.  Rows of equal id and text have one name; names that are kept and
+    stand for several rows are in the second table.  Rows without words are in neither.
+    """
+    rows = materialize(_marked(docs, k, num, den, few, block, True).where("component is not null"), "marked")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+    first = rows.groupBy("component").agg(F.min(place).alias("f"))
+    same = F.col("doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("text_key") == F.col("f.text_key"))
+    gone = rows.join(first, "component").where(~same).select("doc_id", "text_key").distinct()
+    repeated = rows.groupBy("doc_id", "text_key").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id", "text_key")
+    return gone, repeated

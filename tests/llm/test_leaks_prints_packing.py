@@ -232,6 +232,24 @@ def test_pipeline_stages(spark, docs):
     assert clean and [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "near_duplicates", "decontamination", "packing"]
 
 
+def test_pipeline_drops_rows_not_ids(spark, docs):
+    """A null or shared id does not take clean rows along; identical rows become one."""
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    text = {c: " ".join(f"{c}{i}" for i in range(60)) for c in "abcdef"}
+    rows = [(None, text["a"] + " " + item), (None, text["b"]), (7, text["c"] + " " + item), (7, text["d"])]
+
+    def frame(rows):
+        return spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows], docs.schema)
+
+    def left(df):
+        return sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+    assert left(corpus_pipeline.decontamination(spark, frame(rows), SF)) == sorted([rows[1], rows[3]], key=str)
+    near = [(1, text["a"]), (7, text["a"] + " end"), (7, text["b"]), (8, text["c"]), (8, text["c"]), (None, text["d"]), (None, text["d"]),
+            (None, text["e"]), (9, text["e"] + " end"), (5, None), (5, None), (None, "")]
+    want = [near[0], near[2], near[3], near[5], near[8], near[9], near[10], near[11]]
+    assert left(corpus_pipeline.near_duplicates(spark, frame(near), SF)) == sorted(want, key=str)
+
+
 def test_pipeline_whole_and_empty(spark, docs, tmp_path):
     out = corpus_pipeline.run(spark, SF).collect()
     assert out and check_packed(out, SEQUENCE) <= -(-sum(r.length for r in out) // SEQUENCE) + 2
