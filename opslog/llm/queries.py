@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 from opslog.llm.best_fit import pack_documents
+from opslog.llm.bpe import token_digests
 from opslog.llm.cgk import find_leaks
 from opslog.llm.chat_prefix import format_chats
 from opslog.llm.common import read_table
@@ -13,6 +14,7 @@ from opslog.llm.langid import predict_languages
 from opslog.llm.line_dedup import dedup_lines
 from opslog.llm.ngram_join import jaccard_components
 from opslog.llm.prefix_hash import fingerprint_documents
+from opslog.llm.prefix_trie import conversation_trie
 from opslog.llm.quality_cnn import score_quality
 from opslog.llm.superkmer import dedup_substrings
 from opslog.plans.registry import query
@@ -129,3 +131,41 @@ def op9(spark, d):
 @query("op10_best_fit_packing")
 def op10(spark, d):
     return pack_documents(read_table(spark, d, "documents"), TOKENIZER)
+
+
+# crc32 of an id's decimal text, bit by bit
+CRC = """xor(4294967295, list_reduce(list_transform(string_split('~' || CAST(conv_id AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT)),
+  lambda crc, byte: list_reduce([xor(CASE WHEN crc = 126 THEN 4294967295 ELSE crc END, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+TRIE = f"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p FROM conversations),
+c AS (SELECT conv_id, count(*) AS n, conv_id - conv_id % 20 AS base, CASE WHEN conv_id % 20 = 0 THEN 0 ELSE {CRC} % 4 END AS h FROM t GROUP BY conv_id),
+k AS (SELECT c.*, least(c.h, coalesce(b.n, 0)) AS k FROM c LEFT JOIN c b ON c.base = b.conv_id),
+r AS (SELECT conv_id, p - h + k AS d, role, text FROM t JOIN k USING (conv_id) WHERE p > h
+      UNION ALL SELECT k.conv_id, p, role, text FROM k JOIN t ON t.conv_id = k.base WHERE p <= k.k),
+named AS (SELECT conv_id, d, len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS words,
+          md5(string_agg(role || chr(1) || text, chr(2)) OVER (PARTITION BY conv_id ORDER BY d)) AS name FROM r
+          UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+ends AS (SELECT conv_id, max(d) AS last FROM named GROUP BY conv_id),
+node AS (SELECT d, name, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words, max(last) > d AS inner_node,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE last = d), '')) AS ends_sha256
+         FROM named JOIN ends USING (conv_id) GROUP BY d, name),
+below AS (SELECT a.d, a.name, count(*) FILTER (WHERE NOT u.inner_node) AS n_leaves, sum((u.n_convs - 1) * u.words) AS saved
+          FROM node u JOIN named a ON a.conv_id = u.conv_id AND a.d <= u.d GROUP BY a.d, a.name),
+up AS (SELECT u.d, u.name, v.conv_id AS parent_conv_id, v.name AS parent FROM node u
+       JOIN named a ON a.conv_id = u.conv_id AND a.d = u.d - 1 JOIN node v ON v.d = a.d AND v.name = a.name),
+kids AS (SELECT d - 1 AS d, parent AS name, count(*) AS n FROM up GROUP BY d, parent)
+SELECT conv_id, d AS depth, parent_conv_id, n_convs, coalesce(n, 0) AS n_children, n_leaves, CAST(saved AS BIGINT) AS saved_tokens, ends_sha256
+FROM node JOIN below USING (d, name) LEFT JOIN up USING (d, name) LEFT JOIN kids USING (d, name)
+"""
+
+
+@query("op12_centroid_trie", TRIE)
+def op12(spark, d):
+    return conversation_trie(read_table(spark, d, "conversations"))
+
+
+@query("op13_rank_bpe")
+def op13(spark, d):
+    return token_digests(read_table(spark, d, "documents"), TOKENIZER)
