@@ -10,6 +10,7 @@ from opslog.llm.cgk import find_leaks
 from opslog.llm.chat_prefix import format_chats
 from opslog.llm.common import read_table
 from opslog.llm.html_blocks import extract_pages
+from opslog.llm.k2_search import ranked_search
 from opslog.llm.langid import predict_languages
 from opslog.llm.line_dedup import dedup_lines
 from opslog.llm.ngram_join import jaccard_components
@@ -133,6 +134,27 @@ def op10(spark, d):
     return pack_documents(read_table(spark, d, "documents"), TOKENIZER)
 
 
+TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+RANKED = f"""
+WITH d AS (SELECT doc_id, {TERMS} AS ts FROM documents),
+t AS (SELECT doc_id, unnest(ts) AS term, len(ts) AS n FROM d),
+size AS (SELECT count(*) FILTER (WHERE len(ts) > 0) AS docs, sum(len(ts))::BIGINT AS total FROM d),
+wanted AS (SELECT DISTINCT item_id, unnest({TERMS}) AS term FROM benchmark),
+points AS (SELECT term, doc_id, any_value(n) AS n, count(*) AS tf FROM t WHERE term IN (SELECT term FROM wanted) GROUP BY term, doc_id),
+df AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM points, size GROUP BY term),
+scored AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total))))::BIGINT AS score
+           FROM wanted JOIN points USING (term) JOIN df USING (term), size GROUP BY item_id, doc_id),
+placed AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM placed WHERE rank <= 10
+"""
+
+
+@query("op11_k2_treap_search", RANKED)
+def op11(spark, d):
+    return ranked_search(read_table(spark, d, "documents"), read_table(spark, d, "benchmark"))
+
+
 # crc32 of an id's decimal text, bit by bit
 CRC = """xor(4294967295, list_reduce(list_transform(string_split('~' || CAST(conv_id AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT)),
   lambda crc, byte: list_reduce([xor(CASE WHEN crc = 126 THEN 4294967295 ELSE crc END, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"""
