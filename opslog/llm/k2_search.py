@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from opslog.llm.common import grouped, hash_words, trim, utf8_cells
 from opslog.session import materialize
 
-POINTS, DOCS = 1_000_000, 1 << 14  # a block is closed when it has as many points or documents
+POINTS, DOCS = 500_000, 1 << 14  # a block is closed when it has as many points or documents
 READ_BYTES = 1 << 20  # texts that are cut into terms at a time
 ITEMS_BYTES, ITEMS_ROWS = 8 << 20, 5_000  # texts of items that go to the tasks together
 OPEN = 64  # states that are opened at a time
@@ -78,26 +78,19 @@ def _narrow(x: np.ndarray) -> np.ndarray:
     return x.astype("<u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4" if top < 1 << 32 else "<u8")
 
 
+# for the four bits of a cell: how many are set, and how many before each place
+_ONES = np.array([f.bit_count() for f in range(16)], np.uint8)
+_BEFORE = np.array([[(f & ((1 << j) - 1)).bit_count() for j in range(4)] for f in range(16)], np.uint8)
+
+
 class Treap:
-    """K2-treap of one block: ``rows`` (sorted term hashes with their row and document count), bits and maxima."""
-
-    def __init__(self, names: np.ndarray, row: np.ndarray, df: np.ndarray, height: int, top: int, bits: np.ndarray, lacks: list[np.ndarray]):
-        self.names, self.row, self.df, self.height, self.top = names, row, df, height, top
-        self.bits, self.lacks = bits, lacks
-        ones = np.unpackbits(bits).astype(bool)[:4 * self._inner()]
-        self.child = np.cumsum(ones, dtype=np.int32)  # the cell a one bit leads to; cell 0 is the whole grid
-        self.child[~ones] = -1
-        self.best = np.empty(1 + int(ones.sum()), np.int64)
-        self.best[0] = top
-        parent = np.flatnonzero(ones) // 4
-        at = 1
-        for lack in lacks:  # level by level, as a cell's maximum is told from its parent's
-            self.best[at:at + len(lack)] = self.best[parent[at - 1:at - 1 + len(lack)]] - lack.astype(np.int64)
-            at += len(lack)
-
-    def _inner(self) -> int:
-        """Cells above the last level, each of which has four bits."""
-        return 1 + sum(len(x) for x in self.lacks[:-1]) if self.lacks else 0
+    """K2-treap of one block: term hashes in order with their rows and document counts, four bits a cell, maxima.
+
+    ``levels`` holds, from the top, the bits of the level's cells and what its children lack of their parents' maxima.
+    """
+
+    def __init__(self, names: np.ndarray, row: np.ndarray, df: np.ndarray, top: int, levels: list[tuple[np.ndarray, np.ndarray]]):
+        self.names, self.row, self.df, self.height, self.top, self.levels = names, row, df, len(levels), top, levels
 
     @staticmethod
     def build(h: np.ndarray, doc: np.ndarray, value: np.ndarray, docs: int) -> "Treap":
@@ -105,35 +98,29 @@ class Treap:
         names, of, df = np.unique(h, return_inverse=True, return_counts=True)
         row = np.empty(len(names), np.int64)
         row[np.lexsort((names, -df))] = np.arange(len(names))
-        height = max(int(len(names) - 1).bit_length(), int(docs - 1).bit_length(), 0)
-        y, x = row[of], doc.astype(np.int64)
-        code = np.zeros(len(h), np.int64)
+        height = max(int(len(names) - 1).bit_length(), int(docs - 1).bit_length())
+        y, x, code = row[of], doc.astype(np.int64), np.zeros(len(h), np.int64)
         for b in range(height):
             code |= ((y >> b & 1) << (2 * b + 1)) | ((x >> b & 1) << (2 * b))
+        del y, x, of
         order = np.argsort(code)
-        code, best = code[order], value[order].astype(np.int64)
-        levels = [(code, best)]
-        for _ in range(height):
-            code, best = levels[-1]
+        code, best, levels = code[order], value[order].astype(np.int32), []
+        del order
+        for _ in range(height):  # upwards, so that only two levels are there in full at a time
             up = code >> 2
-            first = np.flatnonzero(np.concatenate([[True], up[1:] != up[:-1]]))
-            levels.append((up[first], np.maximum.reduceat(best, first)))
-        levels.reverse()
-        bits, lacks = [], []
-        for (up, above), (code, best) in zip(levels, levels[1:]):
-            parent = np.searchsorted(up, code >> 2)
-            four = np.zeros(4 * len(up), np.uint8)
-            four[4 * parent + (code & 3)] = 1
-            bits.append(four)
-            lacks.append(_narrow(above[parent] - best))
-        return Treap(names, row, df, height, int(levels[0][1][0]), np.packbits(np.concatenate(bits)) if bits else np.empty(0, np.uint8), lacks)
+            new = np.concatenate([[True], up[1:] != up[:-1]])
+            first = np.flatnonzero(new)
+            above = np.maximum.reduceat(best, first)
+            four = np.bitwise_or.reduceat((1 << (code & 3)).astype(np.uint8), first)
+            levels.append((four, _narrow(above[np.cumsum(new) - 1] - best)))
+            code, best = up[first], above
+        return Treap(names, row.astype("<u4"), df.astype("<u4"), int(best[0]), levels[::-1])
 
     def pack(self) -> bytes:
-        head = [len(self.names), self.height, self.top, len(self.bits), len(self.lacks)]
-        row, df = self.row.astype("<u4"), self.df.astype("<u4")
-        parts = [np.array(head, "<i8"), self.names.astype("<u8"), row, df, self.bits]
-        for x in self.lacks:
-            parts += [np.array([len(x), x.itemsize], "<i8"), x]
+        parts = [np.array([len(self.names), self.height, self.top], "<i8"), self.names.astype("<u8"), self.row, self.df]
+        for four, lack in self.levels:
+            even = np.append(four, np.zeros(len(four) % 2, np.uint8))
+            parts += [np.array([len(four), len(lack), lack.itemsize], "<i8"), even[::2] | even[1::2] << 4, lack]
         return b"".join(p.tobytes() for p in parts)
 
     @staticmethod
@@ -145,12 +132,29 @@ class Treap:
             x = np.frombuffer(data, kind, n, at)
             at += x.nbytes
             return x
-        n, height, top, bits, levels = take(5, "<i8").tolist()
-        names, row, df, packed, lacks = take(n, "<u8"), take(n, "<u4"), take(n, "<u4"), take(bits, np.uint8), []
-        for _ in range(levels):
-            size, width = take(2, "<i8").tolist()
-            lacks.append(take(size, f"<u{width}"))
-        return Treap(names, row.astype(np.int64), df, height, top, packed, lacks)
+        n, height, top = take(3, "<i8").tolist()
+        names, row, df, levels = take(n, "<u8"), take(n, "<u4"), take(n, "<u4"), []
+        for _ in range(height):
+            cells, kids, width = take(3, "<i8").tolist()
+            two = take((cells + 1) // 2, np.uint8)
+            four = np.empty(2 * len(two), np.uint8)
+            four[::2], four[1::2] = two & 15, two >> 4
+            levels.append((four[:cells], take(kids, f"<u{width}")))
+        return Treap(names, row, df, top, levels)
+
+    def open(self) -> "Treap":
+        """Makes the maxima and the counts of bits before each cell, with cells numbered through all levels."""
+        self.four = np.concatenate([f for f, _ in self.levels]) if self.levels else np.empty(0, np.uint8)
+        # cell 0 is the whole grid; a cell's children follow those of the cells before it
+        self.start = np.cumsum(_ONES[self.four], dtype=np.int32) - _ONES[self.four] + np.int32(1)
+        self.best = np.empty(1 + sum(len(x) for _, x in self.levels), np.int32)
+        self.best[0], above, at = self.top, np.array([self.top], np.int32), 1
+        for four, lack in self.levels:
+            above = np.repeat(above, _ONES[four]) - lack.astype(np.int32)
+            self.best[at:at + len(above)] = above
+            at += len(above)
+        self.levels = []
+        return self
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places in ``names`` of hashes, and which of them are there."""
@@ -160,7 +164,7 @@ class Treap:
     def search(self, h: np.ndarray, w: np.ndarray, found: "Best") -> None:
         """Offers ``found`` every column whose score may be among the best; h and w are an item's terms and weights."""
         at, here = self.find(h)
-        rows, w = self.row[at[here]], w[here]
+        rows, w = self.row[at[here]].astype(np.int64), w[here]
         if not len(rows):
             return
         # states: bound, level, first column, a cell per term (-1 for none)
@@ -186,10 +190,13 @@ class Treap:
                 lv, co, ce = lv[~done], co[~done], ce[~done]
             if len(lv):
                 half = self.height - 1 - lv
-                slot = 4 * ce.astype(np.int64) + 2 * (rows[None, :] >> half[:, None] & 1)
-                both = np.concatenate([slot, slot + 1])
-                there = np.concatenate([ce, ce]) >= 0
-                new = np.where(there, self.child[np.where(there, both, 0)], -1).astype(np.int32)
+                place = 2 * (rows[None, :] >> half[:, None] & 1)
+                four, start = self.four[np.maximum(ce, 0)], self.start[np.maximum(ce, 0)]
+                halves = []
+                for side in (0, 1):  # the left half of the documents, and the right
+                    there = (ce >= 0) & (four >> (place + side) & 1 == 1)
+                    halves.append(np.where(there, start + _BEFORE[four, place + side], -1))
+                new = np.concatenate(halves)
                 score = (np.where(new >= 0, self.best[new], 0) * w[None, :]).sum(axis=1)
                 out = (score, np.concatenate([lv, lv]) + 1, np.concatenate([co, co + (1 << half)]), new)
             else:
@@ -333,6 +340,7 @@ def search_items(index: DataFrame, items: DataFrame, n_docs: int, k: int = TOP)
             import pyarrow as pa
             best = [Best(k) for _ in shipped.value]
             for ids, treap in _treaps(batches):
+                treap.open()
                 # greater is better: a small id, any id before none
                 keys = [(0, 0) if d is None else (1, -d) for d in ids]
                 for (_, _, hs, w), b in zip(shipped.value, best):
