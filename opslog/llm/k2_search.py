@@ -29,13 +29,13 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from opslog.llm.common import grouped, hash_words, trim, utf8_cells
+from opslog.llm.common import grouped, hash_words, slices, trim, utf8_cells
 from opslog.session import materialize
 
-POINTS, DOCS = 500_000, 1 << 14  # a block is closed when it has as many points or documents
-READ_BYTES = 1 << 20  # texts that are cut into terms at a time
+POINTS, DOCS = 200_000, 1 << 13  # a block is closed when it has as many points or documents
+READ_ROWS, READ_BYTES = 500, 1 << 19  # texts that are cut into terms at a time
 ITEMS_BYTES, ITEMS_ROWS = 8 << 20, 5_000  # texts of items that go to the tasks together
-OPEN = 64  # states that are opened at a time
+OPEN = 128  # states that are opened at a time
 TOP = 10
 
 _TERM = np.full(256, 0x20, np.uint8)  # bytes of terms, A-Z in lower case; others are white space
@@ -116,30 +116,36 @@ class Treap:
             code, best = up[first], above
         return Treap(names, row.astype("<u4"), df.astype("<u4"), int(best[0]), levels[::-1])
 
-    def pack(self) -> bytes:
-        parts = [np.array([len(self.names), self.height, self.top], "<i8"), self.names.astype("<u8"), self.row, self.df]
+    def pack(self) -> tuple[bytes, bytes]:
+        """The terms and the grid."""
+        names = [np.array([len(self.names)], "<i8"), self.names.astype("<u8"), self.row, self.df]
+        parts = [np.array([self.height, self.top], "<i8")]
         for four, lack in self.levels:
             even = np.append(four, np.zeros(len(four) % 2, np.uint8))
             parts += [np.array([len(four), len(lack), lack.itemsize], "<i8"), even[::2] | even[1::2] << 4, lack]
-        return b"".join(p.tobytes() for p in parts)
+        return b"".join(x.tobytes() for x in names), b"".join(p.tobytes() for p in parts)
 
     @staticmethod
-    def unpack(data: bytes) -> "Treap":
-        at = 0
+    def unpack(terms: bytes, grid: bytes | None = None) -> "Treap":
+        """From the terms alone it can only look them up."""
+        data, at = terms, 0
 
         def take(n, kind):
             nonlocal at
             x = np.frombuffer(data, kind, n, at)
             at += x.nbytes
             return x
-        n, height, top = take(3, "<i8").tolist()
-        names, row, df, levels = take(n, "<u8"), take(n, "<u4"), take(n, "<u4"), []
-        for _ in range(height):
-            cells, kids, width = take(3, "<i8").tolist()
-            two = take((cells + 1) // 2, np.uint8)
-            four = np.empty(2 * len(two), np.uint8)
-            four[::2], four[1::2] = two & 15, two >> 4
-            levels.append((four[:cells], take(kids, f"<u{width}")))
+        n = int(take(1, "<i8")[0])
+        names, row, df, top, levels = take(n, "<u8"), take(n, "<u4"), take(n, "<u4"), 0, []
+        if grid is not None:
+            data, at = grid, 0
+            height, top = take(2, "<i8").tolist()
+            for _ in range(height):
+                cells, kids, width = take(3, "<i8").tolist()
+                two = take((cells + 1) // 2, np.uint8)
+                four = np.empty(2 * len(two), np.uint8)
+                four[::2], four[1::2] = two & 15, two >> 4
+                levels.append((four[:cells], take(kids, f"<u{width}")))
         return Treap(names, row, df, top, levels)
 
     def open(self) -> "Treap":
@@ -231,7 +237,7 @@ def corpus_size(docs: DataFrame) -> tuple[int, int]:
     def scan(batches):
         import pyarrow as pa
         n = total = 0
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, READ_ROWS)):
             cells = utf8_cells(batch.column(0))
             for a, b in grouped(cells, READ_BYTES):
                 count = count_terms(cells[a:b])
@@ -244,7 +250,7 @@ def corpus_size(docs: DataFrame) -> tuple[int, int]:
 
 
 def index_documents(docs: DataFrame, size: tuple[int, int] | None = None, points: int = POINTS, most: int = DOCS) -> DataFrame:
-    """(ids, treap) per block: the document ids of its columns and its packed K2-treap, over every term of every row.
+    """(ids, terms, grid) per block: the document ids of its columns and its packed K2-treap, over every term of every row.
 
     A row without a term has no column.  A block ends at ``points`` points or ``most`` documents, or with its task's
     rows; a document is in one block however long it is.
@@ -258,9 +264,10 @@ def index_documents(docs: DataFrame, size: tuple[int, int] | None = None, points
 
         def flush():
             h, doc, value = (np.concatenate(x) for x in zip(*parts))
-            data = Treap.build(h, doc, value, len(ids)).pack()
-            return pa.RecordBatch.from_arrays([pa.array([ids], pa.list_(pa.int64())), pa.array([data], pa.binary())], names=["ids", "treap"])
-        for batch in batches:
+            names, grid = Treap.build(h, doc, value, len(ids)).pack()
+            return pa.RecordBatch.from_arrays([pa.array([ids], pa.list_(pa.int64())), pa.array([names], pa.binary()), pa.array([grid], pa.binary())],
+                                              names=["ids", "terms", "grid"])
+        for batch in (part for whole in batches for part in slices(whole, READ_ROWS)):
             names, cells = batch.column(0).to_pylist(), utf8_cells(batch.column(1))
             for a, b in grouped(cells, READ_BYTES):
                 h, bounds = terms(cells[a:b])
@@ -280,13 +287,7 @@ def index_documents(docs: DataFrame, size: tuple[int, int] | None = None, points
             yield flush()
         trim()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scan, "ids array<long>, treap binary")
-
-
-def _treaps(batches):
-    for batch in batches:
-        for i in range(batch.num_rows):
-            yield batch.column(0)[i].as_py(), Treap.unpack(batch.column(1)[i].as_buffer())
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scan, "ids array<long>, terms binary, grid binary")
 
 
 def document_counts(index: DataFrame, wanted: np.ndarray) -> dict[int, int]:
@@ -294,14 +295,16 @@ def document_counts(index: DataFrame, wanted: np.ndarray) -> dict[int, int]:
     def scan(batches):
         import pyarrow as pa
         df = np.zeros(len(wanted), np.int64)
-        for _, treap in _treaps(batches):
-            at, here = treap.find(wanted)
-            df[here] += treap.df[at[here]]
+        for batch in batches:
+            for cell in batch.column(0):
+                treap = Treap.unpack(cell.as_buffer())
+                at, here = treap.find(wanted)
+                df[here] += treap.df[at[here]]
         some = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(df[some])], names=["i", "df"])
         trim()
 
-    rows = index.mapInArrow(scan, "i long, df long").groupBy("i").agg(F.sum("df").alias("df")).collect()  # at most a row per wanted term
+    rows = index.select("terms").mapInArrow(scan, "i long, df long").groupBy("i").agg(F.sum("df").alias("df")).collect()  # at most a row per wanted term
     return {int(wanted[r.i]): r.df for r in rows}
 
 
@@ -339,10 +342,10 @@ def search_items(index: DataFrame, items: DataFrame, n_docs: int, k: int = TOP)
         def scan(batches):
             import pyarrow as pa
             best = [Best(k) for _ in shipped.value]
-            for ids, treap in _treaps(batches):
-                treap.open()
+            for ids, names, grid in (cells for batch in batches for cells in zip(*batch.columns)):
+                treap = Treap.unpack(names.as_buffer(), grid.as_buffer()).open()
                 # greater is better: a small id, any id before none
-                keys = [(0, 0) if d is None else (1, -d) for d in ids]
+                keys = [(0, 0) if d is None else (1, -d) for d in ids.as_py()]
                 for (_, _, hs, w), b in zip(shipped.value, best):
                     if len(hs):
                         b.ids = keys

@@ -58,7 +58,7 @@ def test_treap_finds_the_best_of_a_dense_grid():
         grid = np.where(rnd.random((n_terms, n_docs)) < share, rnd.integers(1, 1000, (n_terms, n_docs)), 0)
         names = np.sort(rnd.choice(10**9, n_terms, replace=False)).astype(np.uint64)
         t, d = np.nonzero(grid)
-        treap = Treap.unpack(Treap.build(names[t], d, grid[t, d], n_docs).pack()).open()
+        treap = Treap.unpack(*Treap.build(names[t], d, grid[t, d], n_docs).pack()).open()
         for _ in range(20):
             rows_ = rnd.choice(n_terms, rnd.integers(1, n_terms + 1), replace=False)
             w = rnd.integers(0, 30, len(rows_))
