@@ -26,6 +26,7 @@ import heapq
 import math
 
 import numpy as np
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -117,18 +118,21 @@ class Treap:
         return Treap(names, row.astype("<u4"), df.astype("<u4"), int(best[0]), levels[::-1])
 
     def pack(self) -> tuple[bytes, bytes]:
-        """The terms and the grid."""
+        """The terms and the grid, each compressed."""
         names = [np.array([len(self.names)], "<i8"), self.names.astype("<u8"), self.row, self.df]
         parts = [np.array([self.height, self.top], "<i8")]
         for four, lack in self.levels:
             even = np.append(four, np.zeros(len(four) % 2, np.uint8))
-            parts += [np.array([len(four), len(lack), lack.itemsize], "<i8"), even[::2] | even[1::2] << 4, lack]
-        return b"".join(x.tobytes() for x in names), b"".join(p.tobytes() for p in parts)
+            planes = lack.view(np.uint8).reshape(len(lack), -1).T  # low bytes first, then the mostly empty high ones
+            parts += [np.array([len(four), len(lack), lack.itemsize], "<i8"), even[::2] | even[1::2] << 4, planes]
+        press = zstandard.ZstdCompressor(level=1).compress
+        return press(b"".join(x.tobytes() for x in names)), press(b"".join(p.tobytes() for p in parts))
 
     @staticmethod
     def unpack(terms: bytes, grid: bytes | None = None) -> "Treap":
         """From the terms alone it can only look them up."""
-        data, at = terms, 0
+        expand, at = zstandard.ZstdDecompressor().decompress, 0
+        data = expand(terms)
 
         def take(n, kind):
             nonlocal at
@@ -138,14 +142,14 @@ class Treap:
         n = int(take(1, "<i8")[0])
         names, row, df, top, levels = take(n, "<u8"), take(n, "<u4"), take(n, "<u4"), 0, []
         if grid is not None:
-            data, at = grid, 0
+            data, at = expand(grid), 0
             height, top = take(2, "<i8").tolist()
             for _ in range(height):
                 cells, kids, width = take(3, "<i8").tolist()
                 two = take((cells + 1) // 2, np.uint8)
                 four = np.empty(2 * len(two), np.uint8)
                 four[::2], four[1::2] = two & 15, two >> 4
-                levels.append((four[:cells], take(kids, f"<u{width}")))
+                levels.append((four[:cells], np.ascontiguousarray(take(width * kids, np.uint8).reshape(width, kids).T).view(f"<u{width}")[:, 0]))
         return Treap(names, row, df, top, levels)
 
     def open(self) -> "Treap":
