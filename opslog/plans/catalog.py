@@ -3,3 +3,4 @@
 from opslog.plans import catalog_core  # noqa: F401
 from opslog.plans import catalog_seq  # noqa: F401
 from opslog.plans import catalog_io  # noqa: F401
+from opslog.plans import catalog_schemas  # noqa: F401
