@@ -22,7 +22,7 @@ numbers stay exact 64-bit integers.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opslog.session import materialize
@@ -33,13 +33,15 @@ def _as_list(x) -> list[str]:
 
 
 def ordered_scan(df: DataFrame, key, order, value: str | None = None, rn_col: str = "_rn",
-                 cum_col: str | None = None, num_partitions: int | None = None, count_col: str | None = None) -> DataFrame:
+                 cum_col: str | None = None, num_partitions: int | None = None, count_col: str | None = None,
+                 key_sums: dict[str, Column] | None = None, key_maxima: dict[str, Column] | None = None) -> DataFrame:
     """Add the 1-based position of each row within its key (by ``order``) and, if ``cum_col`` is
     given, the running total of ``value`` up to and including the row.
 
     ``order`` should make rows of a key distinct for positions to be
     deterministic.  Null keys are one key, null values add nothing.
-    ``count_col`` also adds the number of rows of the key.
+    ``count_col`` also adds the number of rows of the key, ``key_sums`` and ``key_maxima`` add totals of
+    expressions over the key's rows, taken from the same split.
     """
     keys, orders = _as_list(key), _as_list(order)
     spread = df.repartitionByRange(*([num_partitions] if num_partitions else []), *keys, *orders)
@@ -52,12 +54,15 @@ def ordered_scan(df: DataFrame, key, order, value: str | None = None, rn_col: st
     if cum_col:
         rows = rows.withColumn("_upto", F.coalesce(F.sum(amount).over(upto), F.lit(0)))
 
-    totals = local.groupBy("_range", "_key").agg(F.count("*").alias("_n"), F.coalesce(F.sum(amount), F.lit(0)).alias("_sum"))
+    more = {**{n: (F.sum, e) for n, e in (key_sums or {}).items()}, **{n: (F.max, e) for n, e in (key_maxima or {}).items()}}
+    totals = local.groupBy("_range", "_key").agg(F.count("*").alias("_n"), F.coalesce(F.sum(amount), F.lit(0)).alias("_sum"),
+                                                 *[f(e).alias(n) for n, (f, e) in more.items()])
     before = Window.partitionBy("_key").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_range", "_key", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n_before"),
                             F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_sum_before"),
-                            F.sum("_n").over(Window.partitionBy("_key")).alias("_n_key"))
+                            F.sum("_n").over(Window.partitionBy("_key")).alias("_n_key"),
+                            *[f(n).over(Window.partitionBy("_key")).alias(n) for n, (f, _) in more.items()])
     found = rows.join(offsets, ["_range", "_key"])
     return found.select(*df.columns, (F.col("_at") + F.col("_n_before")).cast("bigint").alias(rn_col),
                         *([(F.col("_upto") + F.col("_sum_before")).cast("bigint").alias(cum_col)] if cum_col else []),
-                        *([F.col("_n_key").cast("bigint").alias(count_col)] if count_col else []))
+                        *([F.col("_n_key").cast("bigint").alias(count_col)] if count_col else []), *more)
