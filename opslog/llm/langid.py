@@ -9,9 +9,9 @@ blurring the whole text.  The document's language is the one that holds most
 letters, its score their share.
 
 Counts are gathered by Spark from a sample of labelled rows of documented size
-(``PER_LANG`` documents of each of the ``MAX_LANGS`` most frequent languages,
-by a hash of the id); what reaches the driver is one table of ``BUCKETS``
-counts per language.
+(``PER_LANG`` documents of each language, by a hash of the id); every label is
+learned, and what reaches the driver is one table of ``BUCKETS`` counts per
+language.
 """
 
 from __future__ import annotations
@@ -22,11 +22,13 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from opslog.llm.common import grouped, held_out, slices, trim, utf8_cells
+from opslog.llm.common import grouped, held_out, slices, utf8_cells
 
 BUCKETS = 1 << 15
-PER_LANG, MAX_LANGS = 4000, 200
+PER_LANG = 4000
+ROWS, GROUP_BYTES = 1000, 1 << 21  # rows and bytes of texts that are labelled together
 SWITCH = 8.0  # nats that a change of language costs
 SCRIPT_SHARE = 0.005  # of a language's letters, for the script to count as one of its own
 NOT_A_CANDIDATE = -1e4
@@ -89,17 +91,17 @@ class LangModel:
         return LangModel(langs, logp, np.where(own, 0, NOT_A_CANDIDATE).astype(np.float32), int(grams.argmax()) if langs else 0)
 
     def word_scores(self, text: str):
-        """(letters of each word, scores (words, L)); a word in a script that no language has is neutral."""
+        """(letters of each word, scores (words, L), known); a word in a script that no language has is neutral, not known."""
         g = letter_grams(text)
         if g is None:
-            return np.empty(0, np.int64), np.empty((0, len(self.langs)), np.float32)
+            return np.empty(0, np.int64), np.empty((0, len(self.langs)), np.float32), np.empty(0, bool)
         at, first, script, buckets = g
         per = self.logp[buckets[0]] + self.logp[buckets[1]] + self.logp[buckets[2]]
         narrow = self.script[script]
         known = narrow.max(axis=1) == 0
         scores = np.add.reduceat(per, first, axis=0) + narrow
         scores[~known] = 0
-        return np.diff(np.append(first, len(at))), scores
+        return np.diff(np.append(first, len(at))), scores, known
 
     def label(self, scores: list[np.ndarray], switch: float = SWITCH) -> list[np.ndarray]:
         """Viterbi paths of several documents in step, the longest first; a step of the loop moves all of them by a word."""
@@ -110,7 +112,7 @@ class LangModel:
             return [np.empty(0, np.int64) for _ in scores]
         flat = np.concatenate([scores[i] for i in order])
         first = np.concatenate([[0], np.cumsum(size)[:-1]])
-        best_before = np.zeros(total, np.uint8)
+        best_before = np.zeros(total, np.uint16)
         stays = np.ones((total, n_langs), bool)
         v = np.zeros((len(order), n_langs), np.float32)
         active = len(size) - np.searchsorted(size[::-1], np.arange(1, size[0] + 1))
@@ -139,17 +141,21 @@ class LangModel:
         return out
 
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:
-        """(language, share of the letters) of each text; 'und' and 0 without a letter or without a learned language."""
+        """(language, share of the letters) of each text; 'und' and 0 without a letter or without a learned language.
+
+        No language holds a neutral word, so letters of scripts that were not learned lower the share; a text of such
+        letters alone gets the most frequent language with a share of 0.
+        """
         if not self.langs:
             return [("und", 0.0)] * len(texts)
         words = [self.word_scores(t) for t in texts]
         out = []
-        for (letters, _), path in zip(words, self.label([s for _, s in words])):
+        for (letters, _, known), path in zip(words, self.label([s for _, s, _ in words])):
             if not len(letters):
                 out.append(("und", 0.0))
                 continue
-            held = np.bincount(path, letters, len(self.langs))
-            k = int(held.argmax())
+            held = np.bincount(path, letters * known, len(self.langs))
+            k = int(held.argmax()) if known.any() else self.prior
             out.append((self.langs[k], float(held[k] / letters.sum())))
         return out
 
@@ -159,21 +165,20 @@ class LangModel:
         if g is None or not self.langs:
             return []
         at, first, _, _ = g
-        letters, scores = self.word_scores(text)
+        letters, scores, _ = self.word_scores(text)
         path = self.label([scores])[0]
         cut = np.flatnonzero(np.concatenate([[True], path[1:] != path[:-1]]))
         last = np.append(cut[1:], len(path)) - 1
         return [(self.langs[path[a]], int(at[first[a]]), int(at[first[b] + letters[b] - 1]) + 1) for a, b in zip(cut, last)]
 
 
-def fit_languages(docs: DataFrame, per_lang: int = PER_LANG, max_langs: int = MAX_LANGS) -> LangModel:
+def fit_languages(docs: DataFrame, per_lang: int = PER_LANG) -> LangModel:
     """Learn from text and non-null lang of documents that are not held out.
 
     About ``per_lang`` documents of each language, by hash of id and text.  Without such rows the model knows no language.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out("doc_id")).select("doc_id", "lang", "text")
-    sizes = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n"))
-             .orderBy(F.desc("n"), "lang").limit(max_langs).collect()}
+    sizes = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row per language
     langs = sorted(sizes)
     if not langs:
         return LangModel([], np.zeros((BUCKETS, 0), np.float32), np.zeros((N_SCRIPTS, 0), np.float32), 0)
@@ -208,28 +213,30 @@ def fit_languages(docs: DataFrame, per_lang: int = PER_LANG, max_langs: int = MA
     return LangModel.from_counts(langs, table[:BUCKETS], table[BUCKETS:])
 
 
-def identify(docs: DataFrame, model: LangModel, pred: str = "lang_pred", score: str = "score") -> DataFrame:
-    """``docs`` with the predicted language and its share of the letters; every other column is kept.
+def identify(docs: DataFrame, model: LangModel, pred: str = "lang_pred", score: str = "score", keep_text: bool = True) -> DataFrame:
+    """``docs`` with the predicted language and its share of the letters; every other column is kept (text if ``keep_text``).
 
     Null text and text without a letter give 'und' and 0.  Columns of the two new names are replaced.
     """
-    rest = [c for c in docs.columns if c not in (pred, score)]
+    read = [c for c in docs.columns if c not in (pred, score)]
+    rest = [c for c in read if keep_text or c != "text"]
+    at, text = [read.index(c) for c in rest], read.index("text")
 
-    @F.pandas_udf("lang_pred string, score double")
-    def predict(s):
-        import pandas as pd
-        texts = [t if isinstance(t, str) else "" for t in s]
-        out = []
-        for a, b in grouped(texts, 4 << 20):
-            out += model.predict(texts[a:b])
-        trim()
-        return pd.DataFrame(out, columns=["lang_pred", "score"])
+    def scan(batches):
+        import pyarrow as pa
+        for batch in (part for whole in batches for part in slices(whole, ROWS)):
+            cells, out = utf8_cells(batch.column(text)), []
+            for a, b in grouped(cells, GROUP_BYTES):
+                out += model.predict([c.decode("utf-8", "replace") for c in cells[a:b]])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in at), pa.array([o[0] for o in out], pa.string()),
+                                              pa.array([o[1] for o in out], pa.float64())], names=[*rest, pred, score])
 
-    return (docs.select(*rest, predict(F.col("text")).alias("__p"))
-            .select(*rest, F.col("__p.lang_pred").alias(pred), F.col("__p.score").alias(score)))
+    schema = T.StructType([T.StructField(c, docs.schema[c].dataType) for c in rest]
+                          + [T.StructField(pred, T.StringType()), T.StructField(score, T.DoubleType())])
+    return docs.select(*read).mapInArrow(scan, schema)
 
 
 def predict_languages(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every document, learned from the rows that are not held out."""
     model = fit_languages(docs)
-    return identify(docs.select("doc_id", held_out("doc_id").alias("held_out"), "text"), model).drop("text")
+    return identify(docs.select("doc_id", held_out("doc_id").alias("held_out"), "text"), model, keep_text=False)

@@ -1,10 +1,12 @@
 """Quality network, language model, HTML blocks: held-out accuracy, small cases, odd inputs."""
+import itertools
+
 import numpy as np
 import pytest
 
 from opslog.llm.common import held_out
 from opslog.llm.html_blocks import LABELLED, default_tree, extract_pages, main_text
-from opslog.llm.langid import fit_languages, identify, predict_languages
+from opslog.llm.langid import LangModel, fit_languages, identify, predict_languages
 from opslog.llm.quality_cnn import CHUNK, STEP, ByteCNN, score_quality
 from opslog.session import ship_package
 
@@ -143,3 +145,26 @@ def test_pages_odd_rows(spark, docs):
     got = extract_pages(rows).collect()
     assert len(got) == 5 and all(r.text is not None and r.n_chars == len(r.text) for r in got)
     assert extract_pages(rows.limit(0)).count() == 0
+
+
+def test_viterbi_is_the_best_path_of_a_plain_loop():
+    rnd = np.random.default_rng(8)
+    model = LangModel(["a", "b", "c"], np.zeros((1, 3), np.float32), np.zeros((1, 3), np.float32), 0)
+    for n in (1, 2, 5, 7):
+        scores = [rnd.integers(-9, 9, (rnd.integers(1, n + 1), 3)).astype(np.float32) for _ in range(5)]
+
+        def worth(s, path):
+            return sum(float(s[t, k]) for t, k in enumerate(path)) - 4.0 * sum(a != b for a, b in zip(path, path[1:]))
+        for s, path in zip(scores, model.label(scores, switch=4.0)):
+            best = max(worth(s, p) for p in itertools.product(range(3), repeat=len(s)))
+            assert worth(s, path.tolist()) == pytest.approx(best)
+
+
+def test_letters_of_unlearned_scripts_are_held_by_no_language(spark):
+    rows = [(i, t, lang) for i in range(40) for t, lang in (("the cat and the dog were there", "en"), ("der Hund und die Katze sind hier", "de"))]
+    docs = spark.createDataFrame(rows + [(i, "the the", "en") for i in range(40, 60)], "doc_id long, text string, lang string")
+    model = fit_languages(docs)
+    assert model.predict(["καλημέρα κόσμε"]) == [("en", 0.0)]  # the most frequent language, with no share
+    lang, share = model.predict(["the dog " + "καλημέρα " * 9])[0]
+    assert lang == "en" and 0 < share < 0.3
+    assert model.predict(["the dog and the cat"])[0] == ("en", 1.0)
