@@ -43,6 +43,30 @@ def marker_roots(files: DataFrame, path_col: str = "path", markers: list[str] |
     return roots.select(base_name("directory").alias("name"), F.lit(kind).alias("kind"), "directory")
 
 
+def marker_roots_under(files: DataFrame, given: DataFrame, path_col: str = "path", root_col: str = "root",
+                       markers: list[str] | None = None, kind: str = SERVICE_KIND) -> DataFrame:
+    """D3 from several given directories: ``(root, name, kind, directory)`` for each root by itself.
+
+    A marked directory belongs to a given root that is itself or an ancestor, unless another marked directory lies on
+    the way down to it.  Roots may be nested, overlap or be missing from the listing; '' is the listing's own root, a
+    trailing slash says nothing.  Whether something lies on the way is told by depth: the deepest marked ancestor of a
+    directory hides it from the roots that are at least as high, so two equi-joins on path prefixes suffice.
+    """
+    depth = lambda c: F.when(c == "", 0).otherwise(F.size(F.split(c, "/")))
+    p = F.col(path_col)
+    inside = F.when(p.contains("/"), dir_name(p)).otherwise(F.lit(""))
+    marked = files.where(base_name(p).isin(markers or COMPOSE_FILES)).select(inside.alias("directory")).distinct()
+    above = F.when(F.col("directory") == "", F.array(F.lit(""))).otherwise(
+        F.concat(F.array(F.lit("")), ancestors("directory"), F.array(F.col("directory"))))
+    prefixes = marked.select("directory", F.explode(above).alias("_at"))
+    hidden = (prefixes.where("_at <> directory").join(marked.select(F.col("directory").alias("_at")), "_at")
+              .groupBy("directory").agg(F.max(depth(F.col("_at"))).alias("_hidden")))
+    roots = given.select(F.col(root_col).alias("root"), F.rtrim(F.col(root_col), F.lit("/")).alias("_at"))
+    found = prefixes.join(roots, "_at").join(hidden, "directory", "left")
+    return found.where(F.col("_hidden").isNull() | (F.col("_hidden") < depth(F.col("_at")))).select(
+        "root", base_name("directory").alias("name"), F.lit(kind).alias("kind"), "directory")
+
+
 def entry_exists(entries: DataFrame, listing: DataFrame, path_col: str = "archive",
                  listing_col: str = "path", out: str = "exists") -> DataFrame:
     """Flag entries whose file appears in a listing (left join to the distinct listing)."""

@@ -83,3 +83,43 @@ def run_rollup(processes: DataFrame, run_key: str = "run_id", op_key: str = "dir
                  F.sum("n_proc").cast("bigint").alias("n_proc"),
                  F.sum("op_bytes").cast("bigint").alias("run_bytes"),
                  F.sum("op_elapsed_us").cast("bigint").alias("run_elapsed_us")))
+
+
+# How an action passes, by its kind; other kinds need all of their operations.
+ACTION_RULES = {"mapping": "always", "backup": "any", "upload": "any", "deploy": "all"}
+
+
+def outcome_levels(processes: DataFrame, run_key: str = "run_id", action: str = "action", operation: str = "operation",
+                   rules: dict[str, str] | None = None) -> DataFrame:
+    """One row for every operation, action and run, each by the rule of its level.
+
+    ``processes``: run, action (its kind), operation, success, size, elapsed_us, started, completed.  An operation passes
+    with all its processes, an action by its kind's rule, a run with all its actions; sizes count successes only, an
+    operation's elapsed time is the sum of its processes, an action's and a run's their span.  ``scope_started`` and
+    ``scope_completed`` of an operation are those of its whole action, of other rows their own.  Each level is
+    aggregated from the rows of the one below, so a large run arrives as partial totals.
+    """
+    from opslog.session import materialize
+    rules = ACTION_RULES if rules is None else rules
+    kinds = lambda rule: [k for k, r in rules.items() if r == rule]
+    span = F.timestamp_diff("MICROSECOND", F.col("started"), F.col("completed"))
+    inner = [F.sum("n").cast("bigint").alias("n"), F.sum("bytes").cast("bigint").alias("bytes"), F.min("started").alias("started"),
+             F.max("completed").alias("completed")]
+    ops = materialize(processes.groupBy(run_key, action, operation).agg(
+        all_success().alias("success"), F.count("*").alias("n"), total_size().alias("bytes"), sum_elapsed().alias("elapsed_us"),
+        F.min("started").alias("started"), F.max("completed").alias("completed")), "operations")
+    acts = ops.groupBy(run_key, action).agg(any_success().alias("_any"), all_success().alias("_all"), *inner)
+    acts = materialize(acts.withColumn("success", F.when(F.col(action).isin(kinds("always")), True)
+                                       .when(F.col(action).isin(kinds("any")), F.col("_any")).otherwise(F.col("_all")))
+                       .withColumn("elapsed_us", span).drop("_any", "_all"), "actions")
+    runs = acts.groupBy(run_key).agg(all_success().alias("success"), *inner).withColumn("elapsed_us", span)
+    scope = acts.select(F.col(run_key).alias("_r"), F.col(action).alias("_a"), F.col("started").alias("scope_started"), F.col("completed").alias("scope_completed"))
+    scoped = ops.join(scope, F.col(run_key).eqNullSafe(F.col("_r")) & F.col(action).eqNullSafe(F.col("_a"))).drop("_r", "_a")
+    own = {"scope_started": F.col("started"), "scope_completed": F.col("completed")}
+    none = F.lit(None).cast("string")
+    out = None
+    for level, df in (("operation", scoped), ("action", acts.withColumn(operation, none).withColumns(own)),
+                      ("run", runs.withColumns({action: none, operation: none}).withColumns(own))):
+        df = df.withColumn("level", F.lit(level))
+        out = df if out is None else out.unionByName(df)
+    return out.select(run_key, "level", action, operation, "success", "n", "bytes", "elapsed_us", "started", "completed", "scope_started", "scope_completed")

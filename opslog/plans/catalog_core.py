@@ -424,6 +424,33 @@ def f8(spark, d):
     return R.run_rollup(entry_facts(spark, d))
 
 
+def _levels_oracle() -> str:
+    procs = """SELECT run_id, 'backup' AS action, directory AS operation, success, size, elapsed_us, started, completed FROM facts
+        UNION ALL SELECT run_id, 'upload', directory, size % 7 <> 0, size, elapsed_us, started, completed FROM facts WHERE success
+        UNION ALL SELECT run_id, 'deploy', grp, success, size, elapsed_us, started, completed FROM facts WHERE size % 2048 = 0"""
+    ops = """SELECT run_id, action, operation, bool_and(success) AS success, count(*) AS n, coalesce(sum(size) FILTER (WHERE success), 0) AS bytes,
+        coalesce(sum(elapsed_us), 0) AS elapsed_us, min(started) AS started, max(completed) AS completed FROM procs GROUP BY run_id, action, operation"""
+    acts = """SELECT run_id, action, CASE WHEN action IN ('backup', 'upload') THEN bool_or(success) ELSE bool_and(success) END AS success, sum(n) AS n,
+        sum(bytes) AS bytes, min(started) AS started, max(completed) AS completed FROM ops GROUP BY run_id, action"""
+    rows = """SELECT o.run_id, 'operation' AS level, o.action, o.operation, o.success, o.n, o.bytes, o.elapsed_us, o.started, o.completed,
+            a.started AS scope_started, a.completed AS scope_completed FROM ops o JOIN acts a ON o.run_id = a.run_id AND o.action = a.action
+        UNION ALL SELECT run_id, 'action', action, NULL, success, n, bytes, epoch_us(completed) - epoch_us(started), started, completed, started, completed FROM acts
+        UNION ALL SELECT run_id, 'run', NULL, NULL, ok, n, bytes, epoch_us(en) - epoch_us(st), st, en, st, en
+            FROM (SELECT run_id, bool_and(success) AS ok, sum(n) AS n, sum(bytes) AS bytes, min(started) AS st, max(completed) AS en FROM acts GROUP BY run_id) r"""
+    return with_facts("SELECT * REPLACE (CAST(n AS BIGINT) AS n, CAST(bytes AS BIGINT) AS bytes, CAST(elapsed_us AS BIGINT) AS elapsed_us) FROM levels",
+                      procs=procs, ops=ops, acts=acts, levels=rows)
+
+
+@query("f8_outcome_levels", _levels_oracle())
+def f8_levels(spark, d):
+    f = entry_facts(spark, d)
+    cols = ["success", "size", "elapsed_us", "started", "completed"]
+    backup = f.select("run_id", F.lit("backup").alias("action"), F.col("directory").alias("operation"), *cols)
+    upload = f.where("success").select("run_id", F.lit("upload").alias("action"), F.col("directory").alias("operation"), (F.col("size") % 7 != 0).alias("success"), *cols[1:])
+    deploy = f.where("size % 2048 = 0").select("run_id", F.lit("deploy").alias("action"), F.col("grp").alias("operation"), *cols)
+    return R.outcome_levels(backup.unionByName(upload).unionByName(deploy))
+
+
 # --------------------------------------------------------------------------------------------
 # I: formatting
 # --------------------------------------------------------------------------------------------

@@ -9,7 +9,7 @@ from opslog.functions import fmt
 from opslog.functions.paths import upload_key
 from opslog.operators import sequence as S
 from opslog.operators import validate as K
-from opslog.operators.discover import backup_upload_join, entry_exists, free_slot, marker_roots
+from opslog.operators.discover import backup_upload_join, entry_exists, free_slot, marker_roots, marker_roots_under
 from opslog.operators.overlay import env_overlay, env_text, profile_lookup
 from opslog.operators.select import min_level, where_success
 from opslog.sources.bindings import dir_groups
@@ -248,6 +248,26 @@ def d3(spark, d):
     return marker_roots(B.paths(spark, d))
 
 
+GIVEN_ROOTS_SQL = """
+SELECT '' AS root UNION SELECT split_part(path, '/', 1) FROM paths UNION SELECT split_part(path, '/', 1) || '/' || split_part(path, '/', 2) FROM paths"""
+
+
+@query("d3_given_roots", B.with_views("""
+SELECT g.root, regexp_extract(m.directory, '[^/]*$') AS name, 'docker-compose' AS kind, m.directory
+FROM g JOIN m ON g.root = '' OR m.directory = g.root OR starts_with(m.directory, g.root || '/')
+WHERE NOT EXISTS (SELECT 1 FROM m x WHERE starts_with(m.directory, x.directory || '/')
+                  AND (g.root = '' OR x.directory = g.root OR starts_with(x.directory, g.root || '/')))
+""", paths=B.PATHS_SQL, g=GIVEN_ROOTS_SQL, m="""
+SELECT DISTINCT regexp_extract(path, '^(.*)/[^/]*$', 1) AS directory FROM paths
+WHERE regexp_extract(path, '[^/]*$') IN ('compose.yml', 'compose.yaml', 'docker-compose.yml', 'docker-compose.yaml')
+  AND contains(path, '/')"""))
+def d3_given(spark, d):
+    paths = B.paths(spark, d)
+    part = lambda n: F.split_part(F.col("path"), F.lit("/"), F.lit(n))
+    given = paths.select(F.explode(F.array(F.lit(""), part(1), F.concat(part(1), F.lit("/"), part(2)))).alias("root")).distinct()
+    return marker_roots_under(paths, given)
+
+
 @query("d4_entry_exists", with_facts("""
 SELECT run_id, size, archive, archive IN (SELECT archive FROM facts WHERE exitcode IS NOT NULL) AS exists
 FROM facts"""))
