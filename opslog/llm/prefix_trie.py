@@ -28,7 +28,6 @@ from __future__ import annotations
 
 import hashlib
 
-import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
