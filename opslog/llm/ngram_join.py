@@ -13,9 +13,12 @@ first), which is a fixed function of the token, so each order is total and the
 filter exact.  Inside a rarity class each order uses its own hash.
 
 Equal sets are one class from the start.  A token in few prefixes gives its
-pairs of classes; a token in many is dealt out in blocks, and a pair of blocks
-is compared in one task that reports a spanning forest of the links it
-verified, so near copies in thousands do not become all their pairs.
+pairs of classes.  In the bucket of a token in many, all classes first meet a
+few leaders; the links found join most of a group of near copies, and a bucket
+whose classes are all of one component is done.  What is left is exact too:
+classes outside a bucket's main component meet all others in blocks, and a task
+reports a spanning forest of the links it verified between components, so near
+copies in thousands do not become all their pairs.
 """
 
 from __future__ import annotations
@@ -25,16 +28,16 @@ import zlib
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-from opslog.llm.common import doc_words, gram_hashes, group_words, grouped, mix, shingle_set, signed, slices, small_side, U64, utf8_cells
+from opslog.llm.common import gram_hashes, group_words, grouped, mix, shingle_set, signed, slices, small_side, U64, utf8_cells
 from opslog.llm.components import components
 from opslog.session import materialize
 
 CELL_BITS, PIECE_BITS = 20, 14
 CELLS = 1 << CELL_BITS
 ORDERS = (U64(0x243F6A8885A308D3), U64(0x13198A2E03707344), U64(0xA4093822299F31D0))
-FEW = 128  # classes in a bucket that gives pairs; larger buckets go by blocks
+FEW = 128  # classes in a bucket that gives pairs; larger buckets go by leaders and blocks
+LEADERS, ROUNDS = 4, 2  # leaders of a large bucket in a round, rounds before the blocks
 BLOCK = 1000  # classes in a block
 
 
@@ -170,49 +173,90 @@ def _close_pairs(pairs: DataFrame, reps: DataFrame, num: int, den: int) -> DataF
     return pairs.join(a, "a").join(b, "b").where(close("an", "bn", "a1", "a2", "a3", "b1", "b2", "b3")).select("a", "b")
 
 
-def _pair_links(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
+def _class_sets(texts: DataFrame, k: int) -> DataFrame:
+    """(set_id, grams) of (set_id, text): the shingle set as sorted 64-bit numbers in one binary value."""
+    def scan(batches):
+        import pyarrow as pa
+        for batch in (part for whole in batches for part in slices(whole)):
+            cells = utf8_cells(batch.column(1))
+            for a, b in grouped(cells):
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a), pa.array([s.tobytes() for s in _sets(cells[a:b], k)], pa.binary())], names=["set_id", "grams"])
+    return texts.select("set_id", "text").mapInArrow(scan, "set_id long, grams binary")
+
+
+def _pair_links(pairs: DataFrame, grams: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs whose sets are similar enough."""
     @F.pandas_udf("boolean")
     def similar(x, y):
         import pandas as pd
-        return pd.Series([linked(shingle_set(doc_words(a.encode(), True)[2], k), shingle_set(doc_words(b.encode(), True)[2], k), num, den)
-                          for a, b in zip(x, y)], dtype=bool)
-    a = texts.select(F.col("set_id").alias("a"), F.col("text").alias("ta"))
-    b = texts.select(F.col("set_id").alias("b"), F.col("text").alias("tb"))
-    return pairs.join(a, "a").join(b, "b").where(similar("ta", "tb")).select(F.col("a").alias("u"), F.col("b").alias("v"))
-
-
-def _forest(members: list, across: bool, k: int, num: int, den: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links among the members, or of those between the two sides."""
-    sets = [shingle_set(doc_words(t.encode(), True)[2], k) for _, _, _, _, t in members]
-    p2, p3 = [set(m[2]) for m in members], [set(m[3]) for m in members]
-    parent = list(range(len(members)))
-
-    def find(i):
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
+        return pd.Series([linked(np.frombuffer(a, U64), np.frombuffer(b, U64), num, den) for a, b in zip(x, y)], dtype=bool)
+    a = grams.select(F.col("set_id").alias("a"), F.col("grams").alias("ga"))
+    b = grams.select(F.col("set_id").alias("b"), F.col("grams").alias("gb"))
+    return pairs.join(a, "a").join(b, "b").where(similar("ga", "gb")).select(F.col("a").alias("u"), F.col("b").alias("v"))
+
+
+def _open_buckets(large: DataFrame, links: DataFrame) -> DataFrame:
+    """(token, set_id, n, component) of the large buckets whose classes are not yet of one component."""
+    found = components(links).select(F.col("node").alias("set_id"), "component")
+    rows = materialize(large.join(found, "set_id", "left").select("token", "set_id", "n", F.coalesce("component", "set_id").alias("component")), "labelled")
+    mixed = rows.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("token")
+    return materialize(rows.join(mixed, "token", "left_semi"), "open")
+
+
+def _leader_pairs(rows: DataFrame, turn: int, leaders: int, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of classes of a bucket with its leaders: in each of ``leaders`` shares the class with the least hash.
+
+    The hash is one for all buckets, so buckets of one group of near copies have mostly the same leaders.
+    """
+    share = F.pmod(F.xxhash64(F.lit(-1 - turn), "set_id"), F.lit(leaders))
+    first = F.min(F.struct(F.xxhash64(F.lit(turn), "set_id"), "set_id", "n", "component"))
+    chosen = rows.groupBy("token", share.alias("share")).agg(first.alias("f")).select("token", "f.set_id", "f.n", "f.component")
+    x, y = rows.alias("x"), chosen.alias("y")
+    return (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") != F.col("y.component"))
+                   & (F.col("x.n") * den >= F.col("y.n") * num) & (F.col("y.n") * den >= F.col("x.n") * num))
+            .select(F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")).distinct())
+
+
+def _forest(members: list, across: bool, num: int, den: int) -> list[tuple[int, int]]:
+    """Links that join the members' components: a spanning forest over them, or over the links between the two sides.
+
+    A member is (set_id, side, component, p2, p3, grams).
+    """
+    sets = [np.frombuffer(m[5], U64) for m in members]
+    p2, p3 = [set(m[3]) for m in members], [set(m[4]) for m in members]
+    side, label, n = np.array([m[1] for m in members]), np.array([m[2] for m in members]), np.array([len(s) for s in sets])
+    left = np.flatnonzero(side == side[0])
+    rows = range(len(members)) if not across else left if 2 * len(left) <= len(side) else np.flatnonzero(side != side[0])
     edges = []
-    for i in range(len(members)):
-        for j in range(i):
-            if across and members[i][1] == members[j][1] or members[i][0] == members[j][0]:
-                continue
-            ri, rj = find(i), find(j)
-            if ri != rj and not p2[i].isdisjoint(p2[j]) and not p3[i].isdisjoint(p3[j]) and linked(sets[i], sets[j], num, den):
-                parent[ri] = rj
+    for i in rows:
+        fits = (label != label[i]) & (n * den >= n[i] * num) & (n[i] * den >= n * num)
+        fits &= (side != side[i]) if across else (np.arange(len(members)) < i)
+        for j in np.flatnonzero(fits):
+            if label[i] != label[j] and not p2[i].isdisjoint(p2[j]) and not p3[i].isdisjoint(p3[j]) and linked(sets[i], sets[j], num, den):
+                label[label == label[j]] = label[i]
                 edges.append((members[i][0], members[j][0]))
     return edges
 
 
-def _block_links(large: DataFrame, texts: DataFrame, k: int, num: int, den: int, block: int) -> DataFrame:
-    """Links inside buckets of many classes: every pair of blocks meets in one task of at most about 2 * block classes."""
-    n = F.ceil(F.col("bucket_size") / block).cast("int")
-    own = F.pmod(F.xxhash64("set_id"), n).cast("int")
-    dealt = (large.select("token", "set_id", own.alias("side"), F.explode(F.sequence(F.lit(0), n - 1)).alias("other"))
-             .select("token", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "set_id")
-             .join(texts, "set_id"))
-    parts = int(large.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _block_links(rows: DataFrame, reps: DataFrame, grams: DataFrame, num: int, den: int, block: int) -> DataFrame:
+    """Links between components inside open buckets: each class outside a bucket's main component meets all others.
+
+    Outsiders are dealt to blocks, then members of the main component to further ones; a pair of blocks meets in one task
+    of at most about 2 * block classes.  Pairs of main blocks are left out, so a bucket with few outsiders costs each
+    member of its main component one place.
+    """
+    sizes = rows.groupBy("token", "component").agg(F.count("*").alias("size"))
+    main = sizes.groupBy("token").agg(F.sum("size").alias("total"), F.max(F.struct("size", "component")).alias("main"))
+    blocks = lambda size: F.ceil(size / block).cast("int")
+    placed = (rows.join(main, "token").withColumn("inside", F.col("component") == F.col("main.component"))
+              .withColumn("outer", blocks(F.col("total") - F.col("main.size"))).withColumn("inner", blocks(F.col("main.size"))))
+    own = F.when(F.col("inside"), F.col("outer") + F.pmod(F.xxhash64("set_id"), F.col("inner"))).otherwise(F.pmod(F.xxhash64("set_id"), F.col("outer")))
+    last = F.when(F.col("inside"), F.col("outer")).otherwise(F.col("outer") + F.col("inner")) - 1
+    dealt = (placed.select("token", "set_id", "component", own.cast("int").alias("side"), F.explode(F.sequence(F.lit(0), last)).alias("other"))
+             .select("token", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "set_id", "component")
+             .join(reps.select("set_id", "p2", "p3"), "set_id").join(grams, "set_id"))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def link(batches):
         import pyarrow as pa
@@ -220,21 +264,22 @@ def _block_links(large: DataFrame, texts: DataFrame, k: int, num: int, den: int,
         def out(edges):
             return pa.RecordBatch.from_arrays([pa.array([x[i] for x in edges], pa.int64()) for i in (0, 1)], names=["u", "v"])
         current, members = None, []
-        for batch in batches:
-            for token, i, j, side, set_id, p2, p3, text in zip(*(c.to_pylist() for c in batch.columns)):
+        for batch in (part for whole in batches for part in slices(whole)):
+            for token, i, j, *member in zip(*(c.to_pylist() for c in batch.columns)):
                 if (token, i, j) != current:
                     if len(members) > 1:
-                        yield out(_forest(members, current[1] != current[2], k, num, den))
+                        yield out(_forest(members, current[1] != current[2], num, den))
                     current, members = (token, i, j), []
-                members.append((set_id, side, p2, p3, text))
+                members.append(member)
         if len(members) > 1:
-            yield out(_forest(members, current[1] != current[2], k, num, den))
+            yield out(_forest(members, current[1] != current[2], num, den))
 
-    return (dealt.select("token", "i", "j", "side", "set_id", "p2", "p3", "text").repartition(parts, "token", "i", "j")
-            .sortWithinPartitions("token", "i", "j", "set_id").mapInArrow(link, "u long, v long"))
+    return (dealt.select("token", "i", "j", "side", "component", "set_id", "p2", "p3", "grams").repartition(parts, "token", "i", "j")
+            .sortWithinPartitions("token", "i", "j", "set_id")
+            .select("token", "i", "j", "set_id", "side", "component", "p2", "p3", "grams").mapInArrow(link, "u long, v long"))
 
 
-def _marked(docs: DataFrame, k: int, num: int, den: int, few: int, block: int, null_ids: bool) -> DataFrame:
+def _marked(docs: DataFrame, k: int, num: int, den: int, few: int, block: int, null_ids: bool, leaders: int = LEADERS) -> DataFrame:
     """doc_id, text_key, n, component of every row; rows with a null id give links only if ``null_ids``."""
     base = docs.select("doc_id", "text")
     sets = materialize(_document_sets(base, k, num, den), "sets")
@@ -243,7 +288,8 @@ def _marked(docs: DataFrame, k: int, num: int, den: int, few: int, block: int, n
     reps = materialize(filled.groupBy("set_id", "sig", "n").agg(first).select("set_id", "n", "f.*"), "classes")
 
     tokens = reps.select("set_id", F.col("n").cast("int").alias("n"), F.explode("p1").alias("token"))
-    shared = materialize(tokens.withColumn("bucket_size", F.count("*").over(Window.partitionBy("token"))).where("bucket_size > 1"), "buckets")
+    sizes = tokens.groupBy("token").agg(F.count("*").alias("bucket_size")).where("bucket_size > 1")
+    shared = materialize(tokens.join(sizes, "token"), "buckets")
     x, y = shared.where(F.col("bucket_size") <= few).alias("x"), shared.where(F.col("bucket_size") <= few).alias("y")
     pairs = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.set_id") < F.col("y.set_id"))
                     & (F.col("x.n") * den >= F.col("y.n") * num) & (F.col("y.n") * den >= F.col("x.n") * num))
@@ -255,10 +301,19 @@ def _marked(docs: DataFrame, k: int, num: int, den: int, few: int, block: int, n
                        .unionByName(large.select("set_id")).distinct().join(reps.select("set_id", "doc_id", "text_key"), "set_id"), "needed")
     b, w = base.select("doc_id", F.xxhash64("text").alias("text_key"), "text").where("text is not null").alias("b"), small_side(need).alias("w")
     same_id = F.col("b.doc_id").eqNullSafe(F.col("w.doc_id")) if null_ids else F.col("b.doc_id") == F.col("w.doc_id")
-    texts = (b.join(w, same_id & (F.col("b.text_key") == F.col("w.text_key"))).select("w.set_id", "b.text").dropDuplicates(["set_id"])
-             .join(reps.select("set_id", "p2", "p3"), "set_id").select("set_id", "p2", "p3", "text"))
-    texts = materialize(texts, "texts")
-    edges = _pair_links(pairs, texts, k, num, den).unionByName(_block_links(large, texts, k, num, den, block))
+    texts = b.join(w, same_id & (F.col("b.text_key") == F.col("w.text_key"))).select("w.set_id", "b.text").dropDuplicates(["set_id"])
+    grams = materialize(_class_sets(texts, k), "class-sets")
+    edges = materialize(_pair_links(pairs, grams, num, den), "links")
+    for turn in range(ROUNDS + 1 if large.take(1) else 0):
+        rows = _open_buckets(large, edges)
+        if not rows.take(1):
+            break
+        if turn < ROUNDS:
+            met = materialize(_close_pairs(_leader_pairs(rows, turn, leaders, num, den), reps, num, den), "pairs")
+            new = _pair_links(met, grams, num, den)
+        else:
+            new = _block_links(rows, reps, grams, num, den, block)
+        edges = edges.unionByName(materialize(new, "links"))
 
     found = components(edges).select(F.col("node").alias("set_id"), "component")
     return (sets.select("doc_id", "text_key", "n", "set_id").join(found, "set_id", "left")

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,6 +67,34 @@ def test_jaccard_components(spark, k, num, few, block):
     assert got == {d: (len(sets[d]), comp[d]) for d, _ in rows}
 
 
+@pytest.mark.parametrize("few,block", [(8, 9), (128, 1000)])
+def test_jaccard_drifting_copies(spark, few, block):
+    """Copies that drift away from their start: leaders join only near ones, blocks have to find the rest of the chain."""
+    rng, rows, doc = np.random.default_rng(7), [], 0
+    for family in range(3):
+        words = [f"f{family}w{i}" for i in range(120)]
+        for step in range(70):
+            rows.append((doc, " ".join(words)))
+            doc += 1
+            for at in rng.integers(0, 120, 2 if step % 20 == 19 else 1):
+                words[at] = f"x{rng.integers(1 << 30)}"
+    sets = {d: {tuple(w[i:i + 3]) for i in range(len(w) - 2)} for d, w in ((d, t.split()) for d, t in rows)}
+    root = {d: d for d in sets}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+    for a in sets:
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r.component_id for r in jaccard_components(df, 3, 90, 100, few, block).collect()}
+    assert got == {d: find(d) for d in sets}
+
+
 def test_jaccard_repeated_rows_null_ids_empty(spark):
     df = spark.createDataFrame([(2, "a b c d"), (2, "a b c d"), (1, "a b c d"), (None, "a b c d"), (None, None)], TEXTS)
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(df).collect()), key=str)
