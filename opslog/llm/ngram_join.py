@@ -37,8 +37,8 @@ CELL_BITS, PIECE_BITS = 20, 14
 CELLS = 1 << CELL_BITS
 ORDERS = (U64(0x243F6A8885A308D3), U64(0x13198A2E03707344), U64(0xA4093822299F31D0))
 FEW = 128  # classes in a bucket that gives pairs; larger buckets go by leaders and blocks
-LEADERS, ROUNDS = 4, 2  # leaders of a large bucket in a round, rounds before the blocks
-BLOCK = 1000  # classes in a block
+LEADERS = 4  # leaders of a large bucket, which all its classes meet before the blocks
+BLOCK, TOKENS = 2000, 500  # classes in a block, and tokens of a class that a block has room for on average
 
 
 def _sets(cells: list[bytes], k: int):
@@ -199,41 +199,76 @@ def _pair_links(pairs: DataFrame, grams: DataFrame, num: int, den: int) -> DataF
 def _open_buckets(large: DataFrame, links: DataFrame) -> DataFrame:
     """(token, set_id, n, component) of the large buckets whose classes are not yet of one component."""
     found = components(links).select(F.col("node").alias("set_id"), "component")
-    rows = materialize(large.join(found, "set_id", "left").select("token", "set_id", "n", F.coalesce("component", "set_id").alias("component")), "labelled")
+    rows = large.join(found, "set_id", "left").select("token", "set_id", "n", F.coalesce("component", "set_id").alias("component"))
     mixed = rows.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("token")
     return materialize(rows.join(mixed, "token", "left_semi"), "open")
 
 
-def _leader_pairs(rows: DataFrame, turn: int, leaders: int, num: int, den: int) -> DataFrame:
+def _leader_pairs(large: DataFrame, leaders: int, num: int, den: int) -> DataFrame:
     """Pairs (a, b) of classes of a bucket with its leaders: in each of ``leaders`` shares the class with the least hash.
 
     The hash is one for all buckets, so buckets of one group of near copies have mostly the same leaders.
     """
-    share = F.pmod(F.xxhash64(F.lit(-1 - turn), "set_id"), F.lit(leaders))
-    first = F.min(F.struct(F.xxhash64(F.lit(turn), "set_id"), "set_id", "n", "component"))
-    chosen = rows.groupBy("token", share.alias("share")).agg(first.alias("f")).select("token", "f.set_id", "f.n", "f.component")
-    x, y = rows.alias("x"), chosen.alias("y")
-    return (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") != F.col("y.component"))
+    share = F.pmod(F.xxhash64(F.lit(1), "set_id"), F.lit(leaders))
+    first = F.min(F.struct(F.xxhash64(F.lit(0), "set_id"), "set_id", "n"))
+    chosen = large.groupBy("token", share.alias("share")).agg(first.alias("f")).select("token", "f.set_id", "f.n")
+    x, y = large.alias("x"), chosen.alias("y")
+    return (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.set_id") != F.col("y.set_id"))
                    & (F.col("x.n") * den >= F.col("y.n") * num) & (F.col("y.n") * den >= F.col("x.n") * num))
             .select(F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")).distinct())
 
 
+def _overlaps(a: list[np.ndarray], b: list[np.ndarray], width: int = 2048) -> np.ndarray:
+    """How many tokens each array of distinct tokens in ``a`` shares with each in ``b``: products of 0/1 matrices, ``width`` tokens at a time."""
+    flat = [np.concatenate(x) for x in (a, b)]
+    at = [np.repeat(np.arange(len(x)), [len(y) for y in x]) for x in (a, b)]
+    common = np.intersect1d(np.unique(flat[0]), np.unique(flat[1]), assume_unique=True)
+    shared = np.zeros((len(a), len(b)), np.float32)  # exact up to 2^24 tokens of one set
+    if len(common):
+        for side in (0, 1):
+            col = np.minimum(np.searchsorted(common, flat[side]), len(common) - 1)
+            hit = np.flatnonzero(common[col] == flat[side])
+            hit = hit[np.argsort(col[hit], kind="stable")]
+            flat[side], at[side] = col[hit], at[side][hit]
+    for first in range(0, len(common), width):
+        part = []
+        for x, col, row in zip((a, b), flat, at):
+            lo, hi = np.searchsorted(col, [first, first + width])
+            m = np.zeros((len(x), width), np.float32)
+            m[row[lo:hi], col[lo:hi] - first] = 1
+            part.append(m)
+        shared += part[0] @ part[1].T
+    return shared
+
+
 def _forest(members: list, across: bool, num: int, den: int) -> list[tuple[int, int]]:
-    """Links that join the members' components: a spanning forest over them, or over the links between the two sides.
+    """Links that join the members' components: a spanning forest over all their links, or over those between the two sides.
 
-    A member is (set_id, side, component, p2, p3, grams).
+    A member is (set_id, side, component, p2, p3, grams).  Candidates meet under the second and the third order too.
     """
+    side, label = np.array([m[1] for m in members]), np.array([m[2] for m in members])
+    left, right = (np.flatnonzero(side == side[0]), np.flatnonzero(side != side[0])) if across else [np.arange(len(members))] * 2
     sets = [np.frombuffer(m[5], U64) for m in members]
-    p2, p3 = [set(m[3]) for m in members], [set(m[4]) for m in members]
-    side, label, n = np.array([m[1] for m in members]), np.array([m[2] for m in members]), np.array([len(s) for s in sets])
-    left = np.flatnonzero(side == side[0])
-    rows = range(len(members)) if not across else left if 2 * len(left) <= len(side) else np.flatnonzero(side != side[0])
+    n = np.array([len(s) for s in sets], np.int64)
+
+    def fits(x, y):
+        nx, ny = n[x][:, None], n[y][None, :]
+        return (label[x][:, None] != label[y][None, :]) & (nx * den >= ny * num) & (ny * den >= nx * num)
+    if not len(right) or not fits(left, right).any():
+        return []
+    may = fits(left, right)
+    for p in (3, 4):
+        may &= _overlaps([np.unique(members[i][p]) for i in left], [np.unique(members[i][p]) for i in right]) > 0
+    rows, cols = np.flatnonzero(may.any(axis=1)), np.flatnonzero(may.any(axis=0))
+    if not len(rows):
+        return []
+    left, right, may = left[rows], right[cols], may[np.ix_(rows, cols)]
+    both = _overlaps([sets[i] for i in left], [sets[i] for i in right]).astype(np.int64)
+    may &= den * both >= num * (n[left][:, None] + n[right][None, :] - both)
     edges = []
-    for i in rows:
-        fits = (label != label[i]) & (n * den >= n[i] * num) & (n[i] * den >= n * num)
-        fits &= (side != side[i]) if across else (np.arange(len(members)) < i)
-        for j in np.flatnonzero(fits):
-            if label[i] != label[j] and not p2[i].isdisjoint(p2[j]) and not p3[i].isdisjoint(p3[j]) and linked(sets[i], sets[j], num, den):
+    for i, row in zip(left, may):
+        for j in right[row]:
+            if label[i] != label[j]:
                 label[label == label[j]] = label[i]
                 edges.append((members[i][0], members[j][0]))
     return edges
@@ -243,14 +278,15 @@ def _block_links(rows: DataFrame, reps: DataFrame, grams: DataFrame, num: int, d
     """Links between components inside open buckets: each class outside a bucket's main component meets all others.
 
     Outsiders are dealt to blocks, then members of the main component to further ones; a pair of blocks meets in one task
-    of at most about 2 * block classes.  Pairs of main blocks are left out, so a bucket with few outsiders costs each
+    of at most about 2 * block classes and 2 * block * TOKENS tokens (a single larger set is alone).  Pairs of main blocks are left out, so a bucket with few outsiders costs each
     member of its main component one place.
     """
-    sizes = rows.groupBy("token", "component").agg(F.count("*").alias("size"))
-    main = sizes.groupBy("token").agg(F.sum("size").alias("total"), F.max(F.struct("size", "component")).alias("main"))
-    blocks = lambda size: F.ceil(size / block).cast("int")
-    placed = (rows.join(main, "token").withColumn("inside", F.col("component") == F.col("main.component"))
-              .withColumn("outer", blocks(F.col("total") - F.col("main.size"))).withColumn("inner", blocks(F.col("main.size"))))
+    sizes = rows.groupBy("token", "component").agg(F.count("*").alias("size"), F.sum("n").alias("n"))
+    main = sizes.groupBy("token").agg(F.sum("size").alias("size"), F.sum("n").alias("n"), F.max(F.struct("size", "component", "n")).alias("main"))
+    blocks = lambda size, n: F.ceil(F.greatest(size / block, n / (block * TOKENS))).cast("int")
+    main = main.select("token", F.col("main.component").alias("main"), blocks(F.col("size") - F.col("main.size"), F.col("n") - F.col("main.n")).alias("outer"),
+                       blocks(F.col("main.size"), F.col("main.n")).alias("inner"))
+    placed = rows.join(main, "token").withColumn("inside", F.col("component") == F.col("main"))
     own = F.when(F.col("inside"), F.col("outer") + F.pmod(F.xxhash64("set_id"), F.col("inner"))).otherwise(F.pmod(F.xxhash64("set_id"), F.col("outer")))
     last = F.when(F.col("inside"), F.col("outer")).otherwise(F.col("outer") + F.col("inner")) - 1
     dealt = (placed.select("token", "set_id", "component", own.cast("int").alias("side"), F.explode(F.sequence(F.lit(0), last)).alias("other"))
@@ -304,16 +340,12 @@ def _marked(docs: DataFrame, k: int, num: int, den: int, few: int, block: int, n
     texts = b.join(w, same_id & (F.col("b.text_key") == F.col("w.text_key"))).select("w.set_id", "b.text").dropDuplicates(["set_id"])
     grams = materialize(_class_sets(texts, k), "class-sets")
     edges = materialize(_pair_links(pairs, grams, num, den), "links")
-    for turn in range(ROUNDS + 1 if large.take(1) else 0):
+    if large.take(1):
+        met = materialize(_close_pairs(_leader_pairs(large, leaders, num, den), reps, num, den), "pairs")
+        edges = edges.unionByName(materialize(_pair_links(met, grams, num, den), "links"))
         rows = _open_buckets(large, edges)
-        if not rows.take(1):
-            break
-        if turn < ROUNDS:
-            met = materialize(_close_pairs(_leader_pairs(rows, turn, leaders, num, den), reps, num, den), "pairs")
-            new = _pair_links(met, grams, num, den)
-        else:
-            new = _block_links(rows, reps, grams, num, den, block)
-        edges = edges.unionByName(materialize(new, "links"))
+        if rows.take(1):
+            edges = edges.unionByName(materialize(_block_links(rows, reps, grams, num, den, block), "links"))
 
     found = components(edges).select(F.col("node").alias("set_id"), "component")
     return (sets.select("doc_id", "text_key", "n", "set_id").join(found, "set_id", "left")
