@@ -174,12 +174,19 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-BROADCAST_ROWS = 1_000_000  # narrow rows (ids, positions): some tens of MB
+BROADCAST_BYTES = 32 << 20
 
 
-def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df``, marked for broadcasting if a count shows at most ``rows`` rows; beyond, the join shuffles as usual.
+def small_side(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """``df``, marked for broadcasting if its rows take at most ``most`` bytes; beyond, the join shuffles as usual.
 
-    ``df`` is a written table of narrow rows, so the count reads footers only.
+    ``df`` is a written table.  A row takes 40 bytes, each column 8 and the contents of its strings and arrays (8 bytes an
+    element), which one aggregate sums.
     """
-    return F.broadcast(df) if df.count() <= rows else df
+    size = F.lit(40 + 8 * len(df.columns))
+    for f in df.schema.fields:
+        if f.dataType.typeName() == "array":
+            size = size + F.greatest(F.size(f.name), F.lit(0)) * 8
+        elif f.dataType.typeName() in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(f.name), F.lit(0))
+    return F.broadcast(df) if (df.agg(F.sum(size.cast("long")).alias("bytes")).first().bytes or 0) <= most else df

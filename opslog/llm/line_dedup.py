@@ -1,12 +1,13 @@
 """Line dedup by an exact set-similarity join (DataFrame functions only).
 
-A line is the set of its distinct five-word shingles.  Tokens are ordered by
+A line is the set of its distinct five-word shingles; a line of one to four words
+is the set of its whole word sequence.  Tokens are ordered by
 rarity: the number of distinct lines behind a token's counter in a table of
 fixed size (tokens share counters by hash), then by hash.  Two lines of Jaccard t or more
 share a token among the first ``n - ceil(t n) + 1`` of each; candidates must
 also pass the length filter and the positional filter, and are verified by the
 exact Jaccard of their sets.  A line that matches any earlier line is removed;
-lines are ordered by document id (nulls first), place and hash.
+lines are ordered by document id (nulls first), hash of the document's text, place and hash.
 
 Equal lines are collapsed first.  A line's own edits are its rarest tokens, so
 variants of one line that differ too much share no prefix token or fail the
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from opslog.llm.common import WS_CHARS, small_side
 from opslog.session import materialize
 
-WORDS = 5  # a shingle; lines with fewer words are too short to be judged and stay
+WORDS = 5  # a shingle
 NUM, DEN = 80, 100
 COUNTERS = 1 << 18
 LEADERS = 8
@@ -44,16 +45,22 @@ def _words(line: Column) -> Column:
 
 
 def _tokens(line: Column) -> Column:
-    """Distinct shingle hashes of a line, ascending; empty for lines of fewer than WORDS words."""
+    """Distinct shingle hashes of a line, ascending; fewer than WORDS words are one token, a blank line has none."""
     starts = lambda w: F.slice(F.sequence(F.lit(1), F.greatest(F.size(w) - (WORDS - 1), F.lit(1))), 1,
                                F.greatest(F.size(w) - (WORDS - 1), F.lit(0)))
-    return F.sort_array(F.array_distinct(_let(_words(line), lambda w: F.transform(
-        starts(w), lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(-1, WORDS - 1)])))))
+    shingles = lambda w: F.transform(starts(w), lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(-1, WORDS - 1)]))
+    return F.sort_array(F.array_distinct(_let(_words(line), lambda w: F.when(
+        F.size(w).between(1, WORDS - 1), F.array(F.xxhash64(F.size(w), w))).otherwise(shingles(w)))))
+
+
+def text_key(text: Column | str) -> Column:
+    """60 bits of a text's MD5: tells apart the rows that share an id, null ids included."""
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
 def document_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, line) of every line of every text."""
-    return docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    """(doc_id, text_key, line_no, line) of every line of every text."""
+    return docs.select("doc_id", text_key("text").alias("text_key"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
 def _named(lines: DataFrame) -> DataFrame:
@@ -65,13 +72,13 @@ def _prefix_size(n: Column, num: int, den: int) -> Column:
 
 
 def _line_table(docs: DataFrame) -> DataFrame:
-    """Every line: its names, place, and the upper halves of its token hashes (empty: not judged).
+    """Every line: its names, place, and the upper halves of its token hashes (empty: a blank line, not judged).
 
     A half may stand for two tokens of a line; it then stands twice, so sizes and places in an order are those of the
     whole hashes.
     """
     half = F.transform(_tokens(F.col("line")), lambda x: F.shiftright(x, 32).cast("int"))
-    return _named(document_lines(docs)).select("doc_id", "line_no", "h1", "h2", half.alias("tokens"))
+    return _named(document_lines(docs)).select("doc_id", "text_key", "line_no", "h1", "h2", half.alias("tokens"))
 
 
 def _counter(x: Column) -> Column:
@@ -90,7 +97,7 @@ def _rarity(lines: DataFrame) -> Column:
 
 def _earlier(a: str, b: str) -> Column:
     """Whether line a comes before line b."""
-    key = lambda x: F.struct(F.col(f"{x}.doc_id").isNotNull(), f"{x}.doc_id", f"{x}.line_no", f"{x}.h1")
+    key = lambda x: F.struct(F.col(f"{x}.doc_id").isNotNull(), f"{x}.doc_id", f"{x}.text_key", f"{x}.line_no", f"{x}.h1")
     return key(a) < key(b)
 
 
@@ -106,18 +113,18 @@ def _matches(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
 def _sets_of(pairs: DataFrame, docs: DataFrame, distinct: DataFrame) -> DataFrame:
     """(id, tokens) of the lines in (later, earlier) pairs, read again from the texts; a repeated document gives its lines twice."""
     ids = pairs.select(F.col("later").alias("id")).unionByName(pairs.select(F.col("earlier").alias("id"))).distinct()
-    wanted = materialize(distinct.select("id", "h1", "h2", "doc_id", "line_no").join(ids, "id", "left_semi"), "wanted")
+    wanted = materialize(distinct.select("id", "h1", "h2", "doc_id", "text_key", "line_no").join(ids, "id", "left_semi"), "wanted")
     l, w = _named(document_lines(docs)).alias("l"), small_side(wanted).alias("w")
     here = (F.col("l.h1") == F.col("w.h1")) & (F.col("l.h2") == F.col("w.h2")) & (F.col("l.line_no") == F.col("w.line_no")) \
-        & F.col("l.doc_id").eqNullSafe(F.col("w.doc_id"))
+        & (F.col("l.text_key") == F.col("w.text_key")) & F.col("l.doc_id").eqNullSafe(F.col("w.doc_id"))
     return materialize(l.join(w, here).select("w.id", "l.line").select("id", _tokens(F.col("line")).alias("tokens")), "line-sets")
 
 
 def repeated_lines(docs: DataFrame, num: int = NUM, den: int = DEN, leaders: int = LEADERS) -> DataFrame:
-    """(doc_id, line_no, h1) of every line of ``docs`` (doc_id, text) that equals or matches an earlier one."""
-    first = F.min(F.struct(F.col("doc_id").isNotNull().alias("has_id"), "doc_id", "line_no", "tokens"))
+    """(doc_id, text_key, line_no) of every line of ``docs`` (doc_id, text) that equals or matches an earlier one."""
+    first = F.min(F.struct(F.col("doc_id").isNotNull().alias("has_id"), "doc_id", "text_key", "line_no", "tokens"))
     distinct = (_line_table(docs).groupBy("h1", "h2").agg(first.alias("f"))
-                .select(F.monotonically_increasing_id().alias("id"), "h1", "h2", "f.doc_id", "f.line_no", "f.tokens")
+                .select(F.monotonically_increasing_id().alias("id"), "h1", "h2", "f.doc_id", "f.text_key", "f.line_no", "f.tokens")
                 .withColumn("n", F.size("tokens")).where("n > 0"))
     distinct = materialize(distinct, "distinct")  # from here on the ids are fixed
 
@@ -130,8 +137,8 @@ def repeated_lines(docs: DataFrame, num: int = NUM, den: int = DEN, leaders: int
         F.shiftright(F.shiftleft("x", 32), 32).cast("int").alias("token"), "id", F.shiftleft(F.col("n").cast("long"), 31).bitwiseOR(F.col("at")).alias("n_at"))
     in_bucket = rows.withColumn("size", F.count("*").over(Window.partitionBy("token"))).where("size > 1") \
         .select("token", "id", F.shiftright("n_at", 31).cast("int").alias("n"), F.col("n_at").bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("at"))
-    placed = materialize(in_bucket, "shared").join(distinct.select("id", "h1", "doc_id", "line_no"), "id")
-    by_place = Window.partitionBy("token").orderBy(F.col("doc_id").isNotNull(), "doc_id", "line_no", "h1")
+    placed = materialize(in_bucket, "shared").join(distinct.select("id", "h1", "doc_id", "text_key", "line_no"), "id")
+    by_place = Window.partitionBy("token").orderBy(F.col("doc_id").isNotNull(), "doc_id", "text_key", "line_no", "h1")
     placed = materialize(placed.withColumn("order", F.row_number().over(by_place)), "placed")
 
     def candidates(later: DataFrame, earlier: DataFrame) -> DataFrame:
@@ -150,29 +157,32 @@ def repeated_lines(docs: DataFrame, num: int = NUM, den: int = DEN, leaders: int
     second = _matches(second_pairs, _sets_of(second_pairs, docs, distinct), num, den)
     matched = first_round.unionByName(second).distinct().withColumn("gone", F.lit(True))
 
-    v = distinct.select("id", "h1", "h2", "doc_id", "line_no").join(matched, "id", "left").alias("v")
+    v = distinct.select("id", "h1", "h2", "doc_id", "text_key", "line_no").join(matched, "id", "left").alias("v")
     l = _named(document_lines(docs)).drop("line").alias("l")
-    first_here = F.col("l.doc_id").eqNullSafe(F.col("v.doc_id")) & (F.col("l.line_no") == F.col("v.line_no"))
+    first_here = F.col("l.doc_id").eqNullSafe(F.col("v.doc_id")) & (F.col("l.text_key") == F.col("v.text_key")) \
+        & (F.col("l.line_no") == F.col("v.line_no"))
     return (l.join(v, (F.col("l.h1") == F.col("v.h1")) & (F.col("l.h2") == F.col("v.h2")))
-            .where(F.coalesce("v.gone", F.lit(False)) | ~first_here).select("l.doc_id", "l.line_no", "l.h1"))
+            .where(F.coalesce("v.gone", F.lit(False)) | ~first_here).select("l.doc_id", "l.text_key", "l.line_no"))
 
 
 def dedup_lines(docs: DataFrame, num: int = NUM, den: int = DEN, leaders: int = LEADERS,
                 counts: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
     """``docs`` with text without its repeated lines, and the numbers of lines and of removed lines.
 
-    Lines are cut at "\\n"; kept lines are joined by it again, so a text without a repeated line is unchanged.  Lines of
-    fewer than five words, blank ones too, are never judged.  A null text stays null and has no lines.  Rows with the same
-    id and text are one document: each loses the same lines, and the first copy of a line stays in all of them.  All other
-    columns are kept; columns of the two new names are replaced.
+    Lines are cut at "\\n"; kept lines are joined by it again, so a text without a repeated line is unchanged.  Blank lines
+    are never judged.  A null text stays null and has no lines.  Rows with the same id and text are one document: each loses
+    the same lines, and the first copy of a line stays in all of them.  Rows that share only their id, null ids too, are
+    documents of their own, in the order of their texts' MD5.  All other columns are kept; columns of the two new names are
+    replaced.
     """
     rest = [c for c in docs.columns if c not in counts]
     gone = (repeated_lines(docs.select("doc_id", "text"), num, den, leaders).distinct()
-            .groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "h1")).alias("__gone")))  # one document's lines
-    gone = materialize(gone.withColumnRenamed("doc_id", "__id"), "gone")
-    d = docs.select(*rest).join(small_side(gone), F.col("doc_id").eqNullSafe(F.col("__id")), "left")
+            .groupBy("doc_id", "text_key").agg(F.collect_list("line_no").alias("__gone")))  # one document's lines
+    gone = materialize(gone.withColumnsRenamed({"doc_id": "__id", "text_key": "__key"}), "gone")
+    here = F.col("doc_id").eqNullSafe(F.col("__id")) & (text_key("text") == F.col("__key"))
+    d = docs.select(*rest).join(small_side(gone), here, "left")
     lines = F.split("text", "\n")
-    keep = F.filter(lines, lambda x, i: ~F.array_contains("__gone", F.struct(i.alias("line_no"), F.xxhash64(x).alias("h1"))))
+    keep = F.filter(lines, lambda x, i: ~F.array_contains("__gone", i))
     text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(keep, "\n"))
     n = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines))
     left = F.when(F.col("__gone").isNull() | F.col("text").isNull(), n).otherwise(F.size(keep))

@@ -89,20 +89,21 @@ def op7(spark, d):
 
 
 LINES = r"""
-WITH cut AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
-l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS i FROM cut),
-w AS (SELECT line, min((doc_id, i)) AS place, any_value(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS ws FROM l GROUP BY line),
-sets AS (SELECT line, place, list_distinct(list_transform(range(1, len(ws) - 3), lambda k: array_to_string(ws[k:k + 4], ' '))) AS s
-         FROM w WHERE len(ws) >= 5),
+WITH cut AS (SELECT doc_id, text, CAST('0x' || substr(md5(text), 1, 15) AS BIGINT) AS k, string_split(text, chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, k, unnest(ls) AS line, unnest(range(len(ls))) AS i FROM (SELECT DISTINCT doc_id, k, ls FROM cut)),
+w AS (SELECT line, min((doc_id IS NOT NULL, coalesce(doc_id, 0), k, i)) AS place,
+             any_value(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS ws FROM l GROUP BY line),
+sets AS (SELECT line, place, CASE WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda k: array_to_string(ws[k:k + 4], ' '))) END AS s FROM w WHERE len(ws) > 0),
 tokens AS (SELECT line, place, len(s) AS n, unnest(s) AS t FROM sets),
 gone AS (SELECT DISTINCT line FROM (SELECT a.line, b.line AS earlier FROM tokens a JOIN tokens b ON a.t = b.t AND b.place < a.place
          GROUP BY a.line, b.line, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*)))),
-kept AS (SELECT l.doc_id, l.i, l.line FROM l LEFT JOIN sets ON l.line = sets.line LEFT JOIN gone ON l.line = gone.line
-         WHERE sets.line IS NULL OR (gone.line IS NULL AND sets.place = (l.doc_id, l.i))),
-texts AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text, count(*) AS n FROM kept GROUP BY doc_id)
+kept AS (SELECT l.doc_id, l.k, l.i, l.line FROM l LEFT JOIN sets ON l.line = sets.line LEFT JOIN gone ON l.line = gone.line
+         WHERE sets.line IS NULL OR (gone.line IS NULL AND sets.place = (l.doc_id IS NOT NULL, coalesce(l.doc_id, 0), l.k, l.i))),
+texts AS (SELECT doc_id, k, string_agg(line, chr(10) ORDER BY i) AS text, count(*) AS n FROM kept GROUP BY doc_id, k)
 SELECT c.doc_id, CASE WHEN c.text IS NULL THEN NULL ELSE coalesce(t.text, '') END AS text,
        CAST(coalesce(len(c.ls), 0) AS INTEGER) AS n_lines, CAST(coalesce(len(c.ls), 0) - coalesce(t.n, 0) AS INTEGER) AS n_removed
-FROM cut c LEFT JOIN texts t ON c.doc_id = t.doc_id
+FROM cut c LEFT JOIN texts t ON c.doc_id IS NOT DISTINCT FROM t.doc_id AND c.k = t.k
 """
 
 

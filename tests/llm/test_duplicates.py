@@ -131,11 +131,17 @@ def test_substrings_empty(spark):
 
 
 def line_brute(rows, num=80):
-    lines = [((d is not None, d or 0, i), x) for d, t in rows if t is not None for i, x in enumerate(t.split("\n"))]
+    def place(d, t):
+        return d is not None, d or 0, hashlib.md5(t.encode()).hexdigest()
+
+    def shingles(x):
+        w = re.findall(WORD, x)
+        return frozenset(tuple(w[i:i + 5]) for i in range(max(len(w) - 4, min(len(w), 1))))
+    lines = [((*place(d, t), i), x) for d, t in rows if t is not None for i, x in enumerate(t.split("\n"))]
     first = {}
-    for place, x in lines:
-        first[x] = min(first.get(x, place), place)
-    sets = {x: frozenset(tuple(w[i:i + 5]) for w in [re.findall(WORD, x)] for i in range(len(w) - 4)) for x in first}
+    for at, x in lines:
+        first[x] = min(first.get(x, at), at)
+    sets = {x: shingles(x) for x in first}
     gone = {x for x in first for y in first if first[y] < first[x] and 100 * len(sets[x] & sets[y]) >= num * len(sets[x] | sets[y]) > 0}
     out = []
     for d, t in rows:
@@ -143,7 +149,7 @@ def line_brute(rows, num=80):
             out.append((d, None, 0, 0))
             continue
         all_ = t.split("\n")
-        kept = [x for i, x in enumerate(all_) if not sets[x] or (first[x] == (d is not None, d or 0, i) and x not in gone)]
+        kept = [x for i, x in enumerate(all_) if not sets[x] or (first[x] == (*place(d, t), i) and x not in gone)]
         out.append((d, "\n".join(kept), len(all_), len(all_) - len(kept)))
     return sorted(out, key=str)
 
@@ -163,6 +169,7 @@ def test_lines(spark, leaders):
             made.append(rnd.choice([" ", " ", "  ", "\t"]).join(w))
         rows.append((d, "\n".join(made)))
     rows += [(200, None), (201, ""), (202, "\n\n"), (None, rows[3][1]), (203, "a b c d e " * 2000), (204, "a b c d e " * 2001)]
+    rows += [(None, rows[5][1] + "\nAll  rights reserved."), (None, "All rights reserved.\nx"), (7, "All rights reserved."), (7, rows[8][1]), (205, "x")]
     df = spark.createDataFrame(rows, TEXTS).withColumn("line", F.lit(1)).withColumn("id", F.lit("clash"))
     got = dedup_lines(df, leaders=leaders).select("doc_id", "text", "n_lines", "n_removed").collect()
     assert sorted((tuple(r) for r in got), key=str) == line_brute(rows)
