@@ -8,9 +8,15 @@ found by binary search over that test.
 A fingerprint is the text's length, the two sums of the whole text, and the
 prefix sums at a grid of at most ``GRID`` equal steps, the step a power of two
 (a longer text's grid is part of a shorter one's).  From the sums at two
-neighbouring grid points the span between them can be compared, so the
-likeness of two texts is estimated from their fingerprints alone: the number of
-code points in equal spans at equal places, over the longer length.
+neighbouring grid points the span between them can be compared, so stored
+fingerprints alone give an estimate (``likeness``): the number of code points
+in equal spans at equal places, over the longer length.
+
+While both prefix arrays are at hand, ``PrefixHash.likeness`` is exact about
+shifts: the common extensions from both ends are taken off, every ``SEED``
+code points of what is left of the shorter text are looked up at all places of
+the other, and each place found is extended both ways by binary search.  The
+query's columns near_edited and near_next are this one.
 
 The neighbour in descending id order is found without one sorted partition of
 everything: ids are cut at quantiles into buckets, each bucket also gets the
@@ -26,10 +32,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslog.llm.common import utf8_cells
+from opslog.llm.common import slices, utf8_cells
 
 PRIMES, BASES = (2147483647, 2147483629), (911382323, 972663749)  # code points times powers stay below 2^52
 GRID = 32
+SEED = 32  # code points that two texts must share in a row, away from their ends, to count as alike
+_WINDOWS = 1 << 16
 BUCKETS_PER_PARTITION = 4
 FINGERPRINTS = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
                 "near_edited double, near_next double")
@@ -86,6 +94,76 @@ class PrefixHash:
             lo, hi = (mid, hi) if self.equal(i, other, j, mid) else (lo, mid - 1)
         return lo
 
+    def common_extension_back(self, i: int, other: "PrefixHash", j: int) -> int:
+        """Length of the longest span that ends before i here and before j there."""
+        lo, hi = 0, min(i, j)
+        while lo < hi:
+            mid = (lo + hi + 1) // 2
+            lo, hi = (mid, hi) if self.equal(i - mid, other, j - mid, mid) else (lo, mid - 1)
+        return lo
+
+    def _span_hashes(self, at: np.ndarray, length: int, top: int) -> np.ndarray:
+        """Sums of the spans from ``at``, all shifted to the power ``top``, under the first prime."""
+        s, p, w = self.sums[0], PRIMES[0], _powers(top + 1)[0]
+        return (s[at + length] - s[at]) % p * w[top - at] % p
+
+    def _first_places(self, starts: np.ndarray, other: "PrefixHash", lo: int, hi: int) -> np.ndarray:
+        """For each of the spans of SEED code points here, its first start in [lo, hi) there by its sum, or -1."""
+        top = max(self.n, other.n)
+        keys, which = np.unique(self._span_hashes(starts, SEED, top), return_inverse=True)
+        place = np.full(len(keys), -1, np.int64)
+        for a in range(lo, hi, _WINDOWS):
+            j = np.arange(a, min(hi, a + _WINDOWS))
+            h = other._span_hashes(j, SEED, top)
+            at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+            hit = np.flatnonzero((keys[at] == h) & (place[at] < 0))[::-1]
+            place[at[hit]] = j[hit]  # the first of several is written last
+        return place[which]
+
+    def _place(self, i: int, other: "PrefixHash", j: int, hi: int) -> int:
+        """The first true place from j on of the span at i, -1 for none; a chance hit of the sums is passed over."""
+        while j >= 0 and not self.equal(i, other, j, SEED):
+            j = int(self._first_places(np.array([i]), other, j + 1, hi)[0])
+        return j
+
+    def likeness(self, other: "PrefixHash") -> float:
+        """0 to 1: code points of the shorter text in spans shared with the longer one, over the longer length.
+
+        Shared are the common extensions from both ends and, between them, the longest extensions both ways of every
+        SEED-th place whose next SEED code points stand anywhere in the other text: at the shift of the extension before,
+        or else at their first place.  Two empty texts give 1, one empty text 0.
+        """
+        if self.n > other.n:
+            return other.likeness(self)
+        if self.n == 0:
+            return float(other.n == 0)
+        head = self.common_extension(0, other, 0)
+        if head == other.n:
+            return 1.0
+        tail = min(self.common_extension_back(self.n, other, other.n), self.n - head)
+        lo, end, hi = head, self.n - tail, other.n - tail - SEED + 1
+        shared = head + tail
+        starts = np.arange(lo, end - SEED + 1, SEED)
+        if not len(starts) or hi <= lo:
+            return shared / other.n
+        done = lo  # everything before is counted or given up
+        shift = None
+        for i, j in zip(starts.tolist(), self._first_places(starts, other, lo, hi).tolist()):
+            if i + SEED <= done or j < 0:
+                continue
+            if shift is not None and lo <= i + shift < hi and self.equal(i, other, i + shift, SEED):
+                j = i + shift
+            else:
+                j = self._place(i, other, j, hi)
+                if j < 0:
+                    continue
+            shift = j - i
+            a = max(done, i - self.common_extension_back(i, other, j))
+            b = min(end, i + self.common_extension(i, other, j))
+            shared += max(0, b - a)
+            done = max(done, b)
+        return shared / other.n
+
     def fingerprint(self) -> str:
         step = grid_step(self.n)
         at = np.arange(step, self.n, step)
@@ -109,7 +187,7 @@ def parse(fingerprint: str) -> tuple[int, str, np.ndarray]:
 
 
 def likeness(a: str, b: str) -> float:
-    """0 to 1: code points in equal grid spans at equal places over the longer length; 1 for equal fingerprints."""
+    """From stored fingerprints, 0 to 1: code points in equal grid spans at equal places over the longer length; 1 if equal."""
     if a == b:
         return 1.0
     (n, _, s), (m, _, t) = parse(a), parse(b)
@@ -148,7 +226,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
 
     Documents stand in descending id order, nulls last, rows of one id by text (a null text is empty); the next
     document of the last one is the first.  One row per row of ``docs``; a single document is its own next one.
-    Equal texts have equal fingerprints.  Columns other than doc_id and text are ignored, whatever their names.
+    Equal texts have equal fingerprints and likeness 1; two empty texts too.  Columns other than doc_id and text are ignored, whatever their names.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -178,21 +256,21 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     def scan(batches):
         import pyarrow as pa
 
-        def row(doc_id, text, cp, follow, follow_print):
-            mine = PrefixHash(cp)
-            changed = edited(text, follow)
-            mark, other = mine.fingerprint(), PrefixHash(code_points(changed)).fingerprint()
-            return (doc_id, len(text), hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest(), mark, other,
-                    likeness(mark, other), likeness(mark, follow_print))
+        def row(doc_id, text, mine, following, following_hash):
+            changed = edited(text, following)
+            other = PrefixHash(code_points(changed))
+            return (doc_id, len(text), hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest(), mine.fingerprint(),
+                    other.fingerprint(), mine.likeness(other), mine.likeness(following_hash))
         held = None
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 500)):
             out = []
             for bucket, guest, doc_id, cell in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                                                    batch.column(2).to_pylist(), utf8_cells(batch.column(3))):
                 text = cell.decode("utf-8", "replace")
+                hashed = PrefixHash(code_points(text))
                 if held is not None and held[0] == bucket:
-                    out.append(row(held[1], held[2], code_points(held[2]), text, PrefixHash(code_points(text)).fingerprint()))
-                held = None if guest else (bucket, doc_id, text)
+                    out.append(row(*held[1:], text, hashed))
+                held = None if guest else (bucket, doc_id, text, hashed)
             if out:
                 cols = list(zip(*out))
                 kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]

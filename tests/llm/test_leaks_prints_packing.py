@@ -13,7 +13,7 @@ import corpus_pipeline
 from opslog.llm.best_fit import SEQUENCE, WordTokenizer, pack_documents, pack_plan, plan_rows, solve_lp, tokenize
 from opslog.llm.cgk import MIN_WORDS, ItemIndex, edit_place, find_leaks
 from opslog.llm.common import doc_words
-from opslog.llm.prefix_hash import PrefixHash, code_points, edited, fingerprint_documents, likeness
+from opslog.llm.prefix_hash import PrefixHash, SEED, code_points, edited, fingerprint_documents, likeness
 from opslog.llm.queries import TOKENIZER
 from opslog.session import ship_package
 
@@ -118,6 +118,58 @@ def test_prefix_hash_extensions(a, b, i, j):
     assert likeness(x.fingerprint(), y.fingerprint()) == likeness(y.fingerprint(), x.fingerprint()) <= 1
 
 
+def shared_run(a, i, b, j, step):
+    n = 0
+    while 0 <= i + n * step < len(a) and 0 <= j + n * step < len(b) and a[i + n * step] == b[j + n * step]:
+        n += 1
+    return n
+
+
+def alike(a, b):
+    """Likeness of two texts by plain string search."""
+    if len(a) > len(b):
+        return alike(b, a)
+    if not a:
+        return float(not b)
+    head = shared_run(a, 0, b, 0, 1)
+    if a == b:
+        return 1.0
+    tail = min(shared_run(a, len(a) - 1, b, len(b) - 1, -1), len(a) - head)
+    end, there, shared, done, shift = len(a) - tail, len(b) - tail, head + tail, head, None
+    for i in range(head, end - SEED + 1, SEED):
+        j = b.find(a[i:i + SEED], head, there)
+        if i + SEED <= done or j < 0:
+            continue
+        if shift is not None and head <= i + shift <= there - SEED and b[i + shift:i + shift + SEED] == a[i:i + SEED]:
+            j = i + shift
+        shift = j - i
+        start = max(done, i - shared_run(a, i - 1, b, j - 1, -1))
+        stop = min(end, i + shared_run(a, i, b, j, 1))
+        shared += max(0, stop - start)
+        done = max(done, stop)
+    return shared / len(b)
+
+
+def test_likeness_by_extensions():
+    rnd = random.Random(2)
+    text = "".join(rnd.choice("abcdefgh ") for _ in range(3000))
+
+    def near(a, b):
+        x, y = PrefixHash(code_points(a)), PrefixHash(code_points(b))
+        assert x.likeness(y) == alike(a, b)
+        return x.likeness(y)
+    assert near("x" + text, text) > 0.99  # one code point put in front
+    assert near(text[:700] + "Z" + text[700:1500] + text[1501:2500] + "YY" + text[2500:], text) > 0.97
+    assert near(text[1500:] + text[:1500], text) > 0.97  # halves swapped
+    for i in range(50, 3000, 100):  # one change in each of a grid's spans
+        text = text[:i] + "Z" + text[i + 1:]
+    assert near(text, text.replace("Z", "Y")) > 0.7 and near(text, text[::-1]) < 0.05
+    assert near("", "") == 1 and near("", "a") == 0 and near("ab" * 900, "ab" * 1000 + "c") > 0.85 and near("a" * 99, "a" * 99) == 1
+    for _ in range(150):  # repeated phrases, cuts and moves
+        bits = [text[k:k + rnd.randint(1, 90)] for k in (rnd.randrange(2900) for _ in range(4))]
+        near("".join(rnd.choice(bits) for _ in range(rnd.randint(0, 9))), "".join(rnd.choice(bits) for _ in range(rnd.randint(0, 9))))
+
+
 def test_fingerprints(spark, docs):
     rnd = random.Random(1)
     rows = [(i * 3, "".join(rnd.choice("aé\U0001F600 ") for _ in range(rnd.randint(0, 50)))) for i in range(150)]
@@ -131,7 +183,7 @@ def test_fingerprints(spark, docs):
         for i, (d, t) in enumerate(order):
             n = order[(i + 1) % len(order)][1]
             e = edited(t, n)
-            want.append((d, len(t), hashlib.sha256(e.encode()).hexdigest(), mark(t), mark(e), likeness(mark(t), mark(e)), likeness(mark(t), mark(n))))
+            want.append((d, len(t), hashlib.sha256(e.encode()).hexdigest(), mark(t), mark(e), alike(t, e), alike(t, n)))
         df = spark.createDataFrame(part, TEXTS).withColumn("bucket", F.lit("clash"))
         assert sorted((tuple(r) for r in fingerprint_documents(df).collect()), key=str) == sorted(want, key=str)
     assert fingerprint_documents(df.limit(0)).count() == 0
