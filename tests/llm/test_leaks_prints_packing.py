@@ -10,7 +10,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from opslog.llm.best_fit import SEQUENCE, WordTokenizer, pack_documents, pack_plan, plan_rows, solve_lp, tokenize
+from opslog.llm.best_fit import (
+    SEQUENCE, STEPS, WordTokenizer, fill, pack_documents, pack_plan, plan_rows, sequences, solve_lp, tokenize,
+)
 from opslog.llm.cgk import MIN_WORDS, ItemIndex, edit_place, find_leaks
 from opslog.llm.common import doc_words
 from opslog.llm.prefix_hash import PrefixHash, SEED, code_points, edited, fingerprint_documents, likeness
@@ -219,16 +221,31 @@ def test_tokens_of_odd_texts(words, text):
 def test_plans_hold_every_piece_once(counts):
     counts = np.array([0, *counts])
     cap = len(counts) - 1
-    plan = pack_plan(counts, 50)
+    plan = pack_plan(counts)
     assert (sum((c * t for c, t in plan), np.zeros(cap + 1, np.int64)) == counts).all()
     assert all((c * np.arange(cap + 1)).sum() <= cap and t > 0 for c, t in plan)
-    assert (sum((c * x for c, x in solve_lp(counts, 50)), np.zeros(cap + 1)) <= counts + 1e-6).all()
+    assert sequences(plan) <= sequences(fill(counts))
+    for step in STEPS:
+        found, between, lower = solve_lp(counts, step)
+        assert (sum((c * x for c, x in found + between), np.zeros(cap + 1, np.int64)) == counts).all()
+        assert lower <= sequences(plan) + 1e-6 and all((c * np.arange(cap + 1)).sum() <= cap for c, _ in found)
     rows = plan_rows(plan)
     for length in np.flatnonzero(counts):
         spans = sorted((r[1], r[2]) for r in rows if r[0] == length)
         assert spans[0][0] == 0 and spans[-1][1] == counts[length] and all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
 
 
+def test_the_program_places_nearly_all_tokens():
+    rnd = np.random.default_rng(3)
+    lengths = np.minimum(rnd.lognormal(5.5, 1.0, 6000).astype(int) + 1, SEQUENCE)
+    for times in (1, 30):
+        counts = np.bincount(lengths, minlength=SEQUENCE + 1) * times
+        found, between, lower = solve_lp(counts)
+        held = sum(int((c * np.arange(SEQUENCE + 1)).sum()) * t for c, t in found)
+        assert held >= 0.9 * int((counts * np.arange(SEQUENCE + 1)).sum())
+        assert np.ceil(lower - 1e-6) <= sequences(pack_plan(counts)) <= min(sequences(fill(counts)), lower + 2)
+
+
 def check_packed(pieces, most):
     by = {}
     for r in pieces:
