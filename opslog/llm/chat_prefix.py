@@ -80,7 +80,10 @@ def _add(a: str, b: str) -> Column:
 
 def maximal_conversations(conversations: DataFrame) -> DataFrame:
     """(conv_id, n_turns) of conversations that are no proper prefix of another and the first, by id, of equal ones."""
-    prefixes = materialize(turn_prefixes(conversations), "prefixes")
+    return _maximal(materialize(turn_prefixes(conversations), "prefixes"))
+
+
+def _maximal(prefixes: DataFrame) -> DataFrame:
     sizes = prefixes.groupBy("conv_id").agg(F.max(F.struct("pos", "h1", "h2")).alias("end"))
     ends = sizes.select("conv_id", F.col("end.pos").alias("pos"), F.col("end.h1").alias("h1"), F.col("end.h2").alias("h2"))
     firsts = ends.groupBy("pos", "h1", "h2").agg(F.min(F.struct(F.col("conv_id").isNotNull(), "conv_id")).alias("m"))
@@ -101,8 +104,8 @@ def format_chats(conversations: DataFrame, part_turns: int = PART_TURNS) -> Data
     conv_id, turn, role and text are ignored, whatever their names.
     """
     base = conversations.select("conv_id", "turn", "role", "text")
-    prefixes = turn_prefixes(base).select("conv_id", "turn", "text_key", "pos")
-    kept = maximal_conversations(base).alias("m")
+    prefixes = materialize(turn_prefixes(base), "prefixes")
+    kept = _maximal(prefixes).alias("m")
     x = prefixes.alias("x")
     places = x.join(kept, F.col("x.conv_id").eqNullSafe(F.col("m.conv_id"))).select("x.conv_id", "x.turn", "x.text_key", "x.pos", "m.n_turns")
     line = F.concat(F.lit(TURN_START), F.coalesce("role", F.lit("")), F.lit(ROLE_END), F.coalesce("text", F.lit("")), F.lit(TURN_END))
