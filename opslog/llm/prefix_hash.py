@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from opslog.llm.common import slices, utf8_cells
 
-PRIMES, BASES = (2147483647, 2147483629), (911382323, 972663749)  # code points times powers stay below 2^52
+PRIMES, BASES = (2147483647, 2147483629), (911382323, 972663749)  # the first is 2^31 - 1; code points times powers stay below 2^52
 GRID = 32
 SEED = 32  # code points that two texts must share in a row, away from their ends, to count as alike
 _WINDOWS = 1 << 16
@@ -63,6 +63,18 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
+def _longest(holds, most: int) -> int:
+    """The largest n up to ``most`` that holds, where all smaller ones do: doubling steps, then binary search."""
+    lo, hi = 0, 1
+    while hi <= most and holds(hi):
+        lo, hi = hi, 2 * hi
+    hi = min(hi - 1, most)
+    while lo < hi:
+        mid = (lo + hi + 1) // 2
+        lo, hi = (mid, hi) if holds(mid) else (lo, mid - 1)
+    return lo
+
+
 class PrefixHash:
     """Prefix arrays of one text; answers span equality and common extensions against any other."""
 
@@ -88,42 +100,41 @@ class PrefixHash:
 
     def common_extension(self, i: int, other: "PrefixHash", j: int) -> int:
         """Length of the longest span that starts at i here and at j there."""
-        lo, hi = 0, min(self.n - i, other.n - j)
-        while lo < hi:
-            mid = (lo + hi + 1) // 2
-            lo, hi = (mid, hi) if self.equal(i, other, j, mid) else (lo, mid - 1)
-        return lo
+        return _longest(lambda n: self.equal(i, other, j, n), min(self.n - i, other.n - j))
 
     def common_extension_back(self, i: int, other: "PrefixHash", j: int) -> int:
         """Length of the longest span that ends before i here and before j there."""
-        lo, hi = 0, min(i, j)
-        while lo < hi:
-            mid = (lo + hi + 1) // 2
-            lo, hi = (mid, hi) if self.equal(i - mid, other, j - mid, mid) else (lo, mid - 1)
-        return lo
-
-    def _span_hashes(self, at: np.ndarray, length: int, top: int) -> np.ndarray:
-        """Sums of the spans from ``at``, all shifted to the power ``top``, under the first prime."""
-        s, p, w = self.sums[0], PRIMES[0], _powers(top + 1)[0]
-        return (s[at + length] - s[at]) % p * w[top - at] % p
+        return _longest(lambda n: self.equal(i - n, other, j - n, n), min(i, j))
 
-    def _first_places(self, starts: np.ndarray, other: "PrefixHash", lo: int, hi: int) -> np.ndarray:
-        """For each of the spans of SEED code points here, its first start in [lo, hi) there by its sum, or -1."""
-        top = max(self.n, other.n)
-        keys, which = np.unique(self._span_hashes(starts, SEED, top), return_inverse=True)
+    def _span_hashes(self, lo: int, hi: int, top: int, stride: int = 1) -> np.ndarray:
+        """Sums of the spans of SEED code points from lo, lo + stride, ... before hi, all shifted to the power ``top``, under the first prime."""
+        s, p, w = self.sums[0], PRIMES[0], _powers(top + 1)[0]
+        x = (s[lo + SEED:hi + SEED:stride] - s[lo:hi:stride] + p) * w[top - hi + 1:top - lo + 1][::-1][::stride]  # below 2^63
+        for _ in range(3):  # modulo 2^31 - 1 by adding the upper bits to the lower ones
+            x = (x & p) + (x >> 31)
+        x[x == p] = 0
+        return x
+
+    @staticmethod
+    def _first_places(mine: np.ndarray, other: "PrefixHash", lo: int, hi: int, top: int) -> np.ndarray:
+        """For each of these span sums its first start in [lo, hi) there, or -1."""
+        keys, which = np.unique(mine, return_inverse=True)
         place = np.full(len(keys), -1, np.int64)
+        mask = (1 << max(14, (len(keys) * 64).bit_length())) - 1
+        known = np.zeros(mask + 1, bool)
+        known[keys & mask] = True
         for a in range(lo, hi, _WINDOWS):
-            j = np.arange(a, min(hi, a + _WINDOWS))
-            h = other._span_hashes(j, SEED, top)
-            at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-            hit = np.flatnonzero((keys[at] == h) & (place[at] < 0))[::-1]
-            place[at[hit]] = j[hit]  # the first of several is written last
+            h = other._span_hashes(a, min(hi, a + _WINDOWS), top)
+            near = np.flatnonzero(known[h & mask])[::-1]
+            at = np.minimum(np.searchsorted(keys, h[near]), len(keys) - 1)
+            hit = (keys[at] == h[near]) & (place[at] < 0)
+            place[at[hit]] = near[hit] + a  # the first of several is written last
         return place[which]
 
-    def _place(self, i: int, other: "PrefixHash", j: int, hi: int) -> int:
+    def _place(self, i: int, other: "PrefixHash", j: int, hi: int, top: int) -> int:
         """The first true place from j on of the span at i, -1 for none; a chance hit of the sums is passed over."""
         while j >= 0 and not self.equal(i, other, j, SEED):
-            j = int(self._first_places(np.array([i]), other, j + 1, hi)[0])
+            j = int(self._first_places(self._span_hashes(i, i + 1, top), other, j + 1, hi, top)[0]) if j + 1 < hi else -1
         return j
 
     def likeness(self, other: "PrefixHash") -> float:
@@ -143,18 +154,20 @@ class PrefixHash:
         tail = min(self.common_extension_back(self.n, other, other.n), self.n - head)
         lo, end, hi = head, self.n - tail, other.n - tail - SEED + 1
         shared = head + tail
-        starts = np.arange(lo, end - SEED + 1, SEED)
-        if not len(starts) or hi <= lo:
+        if end - lo < SEED or hi <= lo:
             return shared / other.n
         done = lo  # everything before is counted or given up
         shift = None
-        for i, j in zip(starts.tolist(), self._first_places(starts, other, lo, hi).tolist()):
-            if i + SEED <= done or j < 0:
+        seeds = self._span_hashes(lo, end - SEED + 1, other.n, SEED)
+        places = self._first_places(seeds, other, lo, hi, other.n)
+        for k in np.flatnonzero(places >= 0).tolist():
+            i, j = lo + k * SEED, int(places[k])
+            if i + SEED <= done:
                 continue
             if shift is not None and lo <= i + shift < hi and self.equal(i, other, i + shift, SEED):
                 j = i + shift
             else:
-                j = self._place(i, other, j, hi)
+                j = self._place(i, other, j, hi, other.n)
                 if j < 0:
                     continue
             shift = j - i
