@@ -67,14 +67,14 @@ US_PER_H = 60 * US_PER_M
 US_PER_D = 24 * US_PER_H
 
 
-def fmt_duration(us) -> Column:
+def fmt_duration(us, wide: bool = False) -> Column:
     """Elapsed microseconds as ``2d 00h 05m 17s``.
 
     Days are floored (negative spans give a negative day count and positive
     remainders), seconds are rounded half-to-even, leading zero units are
-    dropped and an all-zero span reads ``< 01s``.
+    dropped and an all-zero span reads ``< 01s``.  ``wide`` spans are DECIMAL(38,0).
     """
-    u = _c(us).cast("bigint")
+    u = _c(us).cast("decimal(38,0)" if wide else "bigint")
     # every unit straight from u (no chain of dependent sub-expressions): floor
     # division for days, then remainders, which pmod keeps non-negative
     d = idiv(u - F.pmod(u, F.lit(US_PER_D)), US_PER_D)

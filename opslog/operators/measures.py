@@ -76,17 +76,16 @@ def elapsed_us(started, completed, mode: str = "archive") -> Column:
     raise ValueError(f"unknown elapsed mode {mode!r}")
 
 
-def speed_bps(size, elapsed, success) -> Column:
-    """Whole bytes per second, floored; 0 when not successful; null for a zero span."""
+def speed_bps(size, elapsed, success, wide: bool = False) -> Column:
+    """Whole bytes per second, floored; 0 when not successful; null for a zero span; ``wide`` spans are DECIMAL(38,0)."""
     # bytes * 10^6 passes 2^63 only beyond ~9 TB: exact BIGINT arithmetic below
     # that, DECIMAL(38,0) above it (the slow path is taken only when needed).
     sz = _c(size).cast("bigint")
-    den = _c(elapsed).cast("bigint")
+    den = _c(elapsed).cast("decimal(38,0)" if wide else "bigint")
     den = F.when(den != 0, den)
-    small = floor_div(sz * F.lit(US_PER_S), den)
     big = floor_div(sz.cast("decimal(38,0)") * F.lit(US_PER_S).cast("decimal(38,0)"),
                     den.cast("decimal(38,0)")).cast("bigint")
-    q = F.when(F.abs(sz) < F.lit(9_000_000_000_000), small).otherwise(big)
+    q = big if wide else F.when(F.abs(sz) < F.lit(9_000_000_000_000), floor_div(sz * F.lit(US_PER_S), den)).otherwise(big)
     return F.when(F.coalesce(_c(success), F.lit(False)), q).otherwise(F.lit(0).cast("bigint"))
 
 

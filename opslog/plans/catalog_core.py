@@ -17,6 +17,7 @@ from opslog.operators.flatten import align, config_rows, explode_groups, map_tex
 from opslog.plans.facts import (ARCHIVE_DEST, entry_facts, sql_base_name, sql_fmt_duration, sql_fmt_size,
                                 sql_fmt_speed, sql_speed, with_facts)
 from opslog.plans.registry import query
+from opslog.session import materialize
 from opslog.sources import bindings as B
 from opslog.sources.bindings import DIR_GROUPS_SQL, dir_groups  # noqa: F401
 
@@ -33,14 +34,16 @@ def backup_summary_df(spark, sf_dir):
         R.any_success().alias("passed"),
         *R.outcome_counts(),
         R.total_size().alias("total_bytes"),
-        R.sum_elapsed("elapsed_us", "success").alias("ok_elapsed_us"),
+        R.sum_elapsed("elapsed_us", "success", wide=True).alias("ok_elapsed_us"),
     )
-    return g.select(
+    g = g.select(
         "*",
         fmt.fmt_size("total_bytes").alias("size_text"),
-        fmt.fmt_duration("ok_elapsed_us").alias("elapsed_text"),
-        fmt.fmt_speed(M.speed_bps("total_bytes", "ok_elapsed_us", "passed")).alias("speed_text"),
+        fmt.fmt_duration("ok_elapsed_us", wide=True).alias("elapsed_text"),
+        fmt.fmt_speed(M.speed_bps("total_bytes", "ok_elapsed_us", "passed", wide=True)).alias("speed_text"),
     )
+    # one row per group; over some ten million entries a group's total elapsed time passes BIGINT
+    return R.narrowed(materialize(g, "backup-summary"), "ok_elapsed_us")
 
 
 _SUMMARY_SQL = with_facts(f"""

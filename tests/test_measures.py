@@ -76,3 +76,23 @@ def test_speed_floor_and_overflow(spark, size, elapsed, expected):
 def test_visible_size(spark):
     df = spark.createDataFrame([(5, True), (5, False), (5, None)], "size long, ok boolean")
     assert [r.v for r in df.select(M.visible_size("size", "ok").alias("v")).collect()] == [5, None, None]
+
+
+def test_summary_totals_beyond_bigint(spark, tmp_path):
+    """A group's summed elapsed time may pass 2^63 microseconds; the summary then gives it as DECIMAL, else as BIGINT."""
+    from opslog.plans.catalog_core import backup_summary_df
+
+    for name, n in (("few", 3), ("many", 40)):
+        orders = [(i, "1-URGENT", dt(1, 1, 1)) for i in range(n)] + [(n, "5-LOW", dt(2024, 1, 1))]
+        items = [(i, 1, 10.0, "A", "F", dt(9999, 1, 1)) for i in range(n)] + [(n, 1, 10.0, "A", "F", dt(2024, 1, 2))]
+        spark.createDataFrame(orders, "o_orderkey long, o_orderpriority string, o_orderdate timestamp_ntz") \
+            .write.parquet(str(tmp_path / name / "orders.parquet"))
+        spark.createDataFrame(items, "l_orderkey long, l_suppkey long, l_extendedprice double, l_returnflag string, l_linestatus string, "
+                              "l_shipdate timestamp_ntz").write.parquet(str(tmp_path / name / "lineitem.parquet"))
+        df = backup_summary_df(spark, str(tmp_path / name))
+        days = (dt(9999, 1, 1) - dt(1, 1, 1)).days * n
+        got = {r.grp: r for r in df.collect()}
+        assert got["1-URGENT"].ok_elapsed_us == days * 86_400_000_000
+        assert got["1-URGENT"].elapsed_text == f"{days}d 00h 00m 00s" and got["1-URGENT"].speed_text == "0 B/s"
+        assert got["5-LOW"].ok_elapsed_us == 86_400_000_000 and got["5-LOW"].elapsed_text == "1d 00h 00m 00s"
+        assert dict(df.dtypes)["ok_elapsed_us"] == ("bigint" if name == "few" else "decimal(38,0)")
