@@ -165,3 +165,26 @@ def test_null_key_is_cut_and_odd_sizes_do_not_fail(spark):
         [(None, 1, True), (None, 2, True), (None, 3, False), ("a", 1, True)], key=str)
     up = spark.createDataFrame([("f", 1, 5, 0), ("g", 1, 1 << 60, 1)], "file string, seq int, bytes long, filesize long")
     assert {r.file: r.pct for r in cumulative_pct(up).collect()} == {"f": 100, "g": 100}
+
+
+def test_ordered_scan_splits_large_keys_only(spark):
+    """Keys beyond ``whole`` rows are cut into ranges, the others are scanned where they are; nothing is written for those."""
+    from opslog.operators.scan import ordered_scan
+    from opslog.session import SCRATCH
+    rows = [(None if i % 4 == 0 else "hot" if i % 4 == 1 else f"k{i % 40}", i % 3, i, i % 7) for i in range(4000)]
+    df = spark.createDataFrame(rows, "k string, a int, s int, v int")
+    seen, want = {}, set()
+    for k, a, s, v in rows:  # in the order of s
+        n, total = seen.get((k, a), (0, 0))
+        seen[k, a] = (n + 1, total + v)
+        want.add((k, a, s, v, n + 1, total + v))
+    want = {(*r, *seen[r[:2]]) for r in want}
+    for together in (None, "k"):
+        for whole in (100_000, 200):
+            before = len(SCRATCH)
+            got = ordered_scan(df, ["k", "a"], "s", value="v", rn_col="rn", cum_col="cum", count_col="n", key_sums={"total": F.col("v")},
+                               together=together, whole=whole)
+            assert (len(SCRATCH) > before) == (whole == 200)
+            assert set(map(tuple, got.collect())) == want
+            if whole > 200:
+                assert got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].count("Exchange ") == 1
