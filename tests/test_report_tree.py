@@ -71,3 +71,17 @@ def test_large_and_odd_runs(spark):
 
 def test_no_runs(spark):
     assert report(spark, []) == {}
+
+
+def test_small_runs_are_not_shuffled_as_blocks(spark):
+    """Small runs become blocks where their entries are: no shuffle and no table of blocks; large runs give the same lines."""
+    from opslog.session import SCRATCH
+    rows = [fact(i % 5 or None, f"g{i % 3}", f"/d{i:04d}", i % 2 == 0, up=i % 4 == 0 if i % 2 == 0 else None) for i in range(60)] + \
+        [fact(9, f"g{i % 2}", f"/e{i:04d}", i % 3 == 0, exitcode=2) for i in range(90)]
+    want = report(spark, rows)
+    assert want == report(spark, rows, whole=50) and len(want) == 6
+    before = len(SCRATCH)
+    df = run_report(spark.createDataFrame(rows, FACTS), "/backup", "2026-01-01 00:00:00")
+    assert [s.rsplit("/", 1)[-1].rsplit("-", 1)[0] for s in SCRATCH[before:]] == ["report-entries"]
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.index("Union") < plan.index("Exchange ")  # only what lies below the blocks is shuffled
