@@ -12,6 +12,7 @@ from opslog.functions.paths import (archive_ext, argv, base_name, expand_home, m
 from opslog.operators import measures as M
 from opslog.operators import rollup as R
 from opslog.operators.discover import entry_exists
+from opslog.operators.scan import PER_TASK
 from opslog.operators.select import select_by_glob_table, select_by_globs, where_failed, where_success
 from opslog.operators.flatten import align, config_rows, explode_groups, map_text  # noqa: F401
 from opslog.plans.facts import (ARCHIVE_DEST, entry_facts, sql_base_name, sql_fmt_duration, sql_fmt_size,
@@ -424,7 +425,9 @@ FROM (SELECT run_id, directory, bool_and(success) AS op_success, count(*) AS n_p
 GROUP BY run_id
 """))
 def f8(spark, d):
-    return R.run_rollup(entry_facts(spark, d))
+    tasks = -(-B.table(spark, d, "lineitem").count() // PER_TASK)
+    given = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return R.run_rollup(entry_facts(spark, d), tasks=tasks if tasks > given else None)
 
 
 def _levels_oracle() -> str:

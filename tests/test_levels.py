@@ -56,3 +56,14 @@ def test_given_roots_nest_and_overlap(spark):
     assert sorted(got) == sorted((r, d, d.rsplit("/", 1)[-1]) for r in roots for d in _walk(files, r))
     top = spark.createDataFrame([("compose.yml",), ("a/compose.yml",)], "path string")
     assert sorted((r.root, r.directory) for r in marker_roots_under(top, given.where("root in ('', 'a')")).collect()) == [("", ""), ("a", "a")]
+
+
+def test_rollup_spread_over_tasks(spark):
+    """The rollup is the same over any number of tasks, and its first aggregate then holds a task's share only."""
+    from opslog.operators.rollup import run_rollup
+
+    rows = [(i % 50 or None, f"/d{i % 7}", None if i % 11 == 0 else i % 3 != 0, None if i % 13 == 0 else i, i * 10) for i in range(2000)]
+    df = spark.createDataFrame(rows, "run_id long, directory string, success boolean, elapsed_us long, size long")
+    spread = run_rollup(df, tasks=40)
+    assert sorted(map(str, run_rollup(df).collect())) == sorted(map(str, spread.collect())) and spread.count() == 50
+    assert "hashpartitioning(run_id" in (plan := spread._jdf.queryExecution().executedPlan().toString()) and ", 40), REPARTITION_BY_NUM" in plan
