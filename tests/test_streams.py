@@ -2,12 +2,14 @@
 import random
 from datetime import datetime as dt, timedelta as td
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from opslog.operators import sequence as S
 from opslog.session import ship_package
 from opslog.plans.report import run_outcomes, title_payload
-from opslog.streaming.ordered import attach_progress, completed_runs, dealt_stream, started_with_rocksdb, throttle_any_order
+from opslog.streaming.ordered import ABSENT, HeldUploads, attach_progress, completed_runs, dealt_stream, started_with_rocksdb, throttle_any_order, throttled
 from opslog.streaming.throttle import EMIT_SCHEMA, batch_dir_sink, run_to_sink, stream_notify
 
 CHUNKS = "file long, seq long, ts timestamp_ntz, bytes long, filesize long"
@@ -111,3 +113,57 @@ def test_a_run_is_handed_on_once_and_only_when_complete(spark, tmp_path):
         notify()  # goes on from the checkpoint
         sent = spark.read.schema("run_id long, payload string").json(dest).collect()
         assert sorted((r.run_id, r.payload) for r in sent) == want
+
+
+class _Kept:
+    """A state variable in memory that counts its requests."""
+
+    def __init__(self, asked):
+        self.rows, self.asked = [], asked
+
+    def get(self):
+        self.asked.append("get")
+        return iter(list(self.rows))
+
+    def appendValue(self, row):
+        self.asked.append("append")
+        self.rows.append(row)
+
+    def put(self, rows):
+        self.asked.append("put")
+        self.rows = list(rows)
+
+    def clear(self):
+        self.asked.append("clear")
+        self.rows = []
+
+
+class _KeptValue(_Kept):
+    def get(self):
+        return next(super().get(), None)
+
+    def update(self, row):
+        self.put([row])
+
+
+def test_many_files_of_a_bucket_cost_a_few_state_requests():
+    asked = []
+    held = HeldUploads(None)
+    held.init(type("Handle", (), {"getListState": lambda self, *a: _Kept(asked), "getValueState": lambda self, *a: _KeptValue(asked)})())
+    rows = [(f, s, 0 if f % 7 else ABSENT, b, z) for f, s, _, b, z in _uploads(8, files=300)]
+    rows[0] = (rows[0][0], ABSENT, *rows[0][2:])
+    late = [(f, 10**6, 0, 0, 0) for f in range(300)]  # empty chunks of closed files
+    random.Random(4).shuffle(rows)
+    got, batches = [], [rows[at::20] for at in range(20)] + [late]
+    for batch in batches:
+        asked.clear()
+        part = pd.DataFrame(batch, columns=["file", "seq", "us", "bytes", "filesize"])
+        for out in held.handleInputRows((0,), iter([part]), None):
+            got += out.itertuples(index=False, name=None)
+        assert len(asked) <= 7
+    want = []
+    for file in range(300):
+        f, s, us, b, z = zip(*[r for r in rows if r[0] == file])
+        want += [(file, s[at], us[at], n, p) for at, n, p in throttled(np.array(s), np.array(b), z[0])]
+    assert sorted(got) == sorted(want)
+    assert not held.chunks.rows and len(held.closed.rows) <= len(batches)
