@@ -235,6 +235,13 @@ def test_plans_hold_every_piece_once(counts):
         assert spans[0][0] == 0 and spans[-1][1] == counts[length] and all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
 
 
+def test_the_words_kept_stay_few():
+    own = WordTokenizer(TOKENIZER)
+    text = " ".join(f"w{i}" for i in range(60_000)) + " w59999 w7"
+    assert own.ids(text) == np.array(own.full.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert len(own.cache) <= 50_000
+
+
 def test_the_program_places_nearly_all_tokens():
     rnd = np.random.default_rng(3)
     lengths = np.minimum(rnd.lognormal(5.5, 1.0, 6000).astype(int) + 1, SEQUENCE)
