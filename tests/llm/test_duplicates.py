@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from opslog.llm.chat_prefix import format_chats
 from opslog.llm.components import components
-from opslog.llm.line_dedup import dedup_lines
+from opslog.llm.line_dedup import dedup_lines, document_lines
 from opslog.llm.ngram_join import jaccard_components
 from opslog.llm.superkmer import dedup_substrings
 from opslog.session import ship_package
@@ -175,6 +175,27 @@ def test_lines(spark, leaders):
     assert sorted((tuple(r) for r in got), key=str) == line_brute(rows)
 
 
+@pytest.mark.parametrize("few", [1, 3, 64])
+def test_lines_of_large_buckets(spark, few):
+    rnd = random.Random(8)
+    stem = [f"s{i}" for i in range(40)]  # a common passage: its shingles are in the buckets of many lines
+    rows = []
+    for d in range(120):
+        w = stem[:rnd.randint(20, 40)] + [f"o{d // 3}-{i}" for i in range(rnd.randint(0, 30))]
+        if rnd.random() < 0.5:
+            w[rnd.randrange(len(w))] = "edit"
+        rows.append((d, "\n".join([" ".join(w), "short line", " ".join(stem)][:rnd.randint(1, 3)])))
+    rows += [(None, rows[0][1]), rows[1], rows[1]]
+    got = dedup_lines(spark.createDataFrame(rows, TEXTS), leaders=2, few=few).select("doc_id", "text", "n_lines", "n_removed").collect()
+    assert sorted((tuple(r) for r in got), key=str) == line_brute(rows)
+
+
+def test_line_names_are_made_once_a_document(spark):
+    plan = document_lines(spark.createDataFrame([(1, "a\nb")], TEXTS))._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Generate", 1)
+    assert "md5" in below and "md5" not in above  # above the generator, each line would hash its document's whole text
+
+
 def test_lines_repeated_rows_and_empty(spark):
     df = spark.createDataFrame([(1, "a b c d e f\nx"), (1, "a b c d e f\nx"), (2, "a b c d e f")], TEXTS)
     got = sorted((r.doc_id, r.text, r.n_removed) for r in dedup_lines(df).collect())
