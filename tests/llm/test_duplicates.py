@@ -8,12 +8,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from opslog.llm import line_dedup
 from opslog.llm.chat_prefix import format_chats
 from opslog.llm.components import components
 from opslog.llm.line_dedup import dedup_lines, document_lines
 from opslog.llm.ngram_join import jaccard_components
 from opslog.llm.superkmer import dedup_substrings
-from opslog.session import ship_package
+from opslog.session import materialize, ship_package
 
 TEXTS = "doc_id long, text string"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -203,6 +204,20 @@ def test_lines_repeated_rows_and_empty(spark):
     assert dedup_lines(df.limit(0)).count() == 0
 
 
+def test_rarity_is_no_literal_of_a_plan(spark, monkeypatch):
+    rows = [(d, f"common words at the start of line {d} and more of them") for d in range(20)]
+    df = spark.createDataFrame(rows, TEXTS)
+    sizes = {}
+
+    def written(df, name):
+        sizes[name] = len(df._jdf.queryExecution().toString())
+        return materialize(df, name)
+    monkeypatch.setattr(line_dedup, "materialize", written)
+    got = line_dedup.dedup_lines(df, few=1).select("doc_id", "text", "n_lines", "n_removed").collect()
+    assert sorted((tuple(r) for r in got), key=str) == line_brute(rows)
+    assert "rare" in sizes and max(sizes.values()) < 200_000, sizes  # a literal of all counters alone takes 500,000 letters
+
+
 def test_snapshots(spark):
     rnd = random.Random(4)
     base = [[("user" if i % 2 == 0 else "assistant", f"t{rnd.randint(0, 3)}") for i in range(8)] for _ in range(6)]
