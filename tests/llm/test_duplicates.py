@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from opslog.llm import line_dedup
+from opslog.llm import line_dedup, ngram_join
 from opslog.llm.chat_prefix import format_chats
 from opslog.llm.components import components
 from opslog.llm.line_dedup import dedup_lines, document_lines
@@ -96,6 +96,27 @@ def test_jaccard_drifting_copies(spark, few, block):
     assert got == {d: find(d) for d in sets}
 
 
+def test_jaccard_writes_and_compares_little(spark, monkeypatch):
+    """Prefixes of one order alone are written, and a group of near copies is not compared in all its pairs."""
+    words = [f"w{i}" for i in range(200)]
+    rows = [(d, " ".join([*words[:3 * d], f"x{d}", *words[3 * d + 1:]])) for d in range(60)]
+    lists, compared = {}, []
+
+    def written(df, name):
+        lists[name] = max(lists.get(name, 0), sum(f.dataType.typeName() == "array" for f in df.schema.fields))
+        return materialize(df, name)
+
+    def links(pairs, *rest):
+        compared.append(pairs.count())
+        return pair_links(pairs, *rest)
+    pair_links = ngram_join._pair_links
+    monkeypatch.setattr(ngram_join, "materialize", written)
+    monkeypatch.setattr(ngram_join, "_pair_links", links)
+    got = jaccard_components(spark.createDataFrame(rows, TEXTS)).collect()
+    assert {r.component_id for r in got} == {0}
+    assert sum(compared) < 2 * len(rows) and max(lists.values()) == 1, (compared, lists)
+
+
 def test_jaccard_repeated_rows_null_ids_empty(spark):
     df = spark.createDataFrame([(2, "a b c d"), (2, "a b c d"), (1, "a b c d"), (None, "a b c d"), (None, None)], TEXTS)
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(df).collect()), key=str)
