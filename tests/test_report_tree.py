@@ -85,3 +85,69 @@ def test_small_runs_are_not_shuffled_as_blocks(spark):
     assert [s.rsplit("/", 1)[-1].rsplit("-", 1)[0] for s in SCRATCH[before:]] == ["report-entries"]
     plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
     assert plan.index("Union") < plan.index("Exchange ")  # only what lies below the blocks is shuffled
+
+
+def _shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").splitlines()
+    return {f for f in files if "/shuffle_" in f}
+
+
+def test_entries_are_on_disk_once(spark):
+    """The numbering leaves the written entries alone behind, no shuffle and no split; only totals of runs are shuffled after it."""
+    import time
+
+    from opslog.session import SCRATCH
+    rows = [fact(i % 7 or None, f"g{i % 3}", f"/d{i:04d}", i % 2 == 0, exc="word " * (i % 40) if i % 5 == 3 else None,
+                 up=i % 4 == 0 if i % 2 == 0 else None) for i in range(90)] + [fact(9, f"g{i % 2}", f"/e{i:04d}", i % 3 == 0, exitcode=2) for i in range(70)]
+    ship_package(spark)
+    for whole in (1000, 50):
+        before, files = len(SCRATCH), _shuffle_files(spark)
+        df = run_report(spark.createDataFrame(rows, FACTS), "/backup", "2026-01-01 00:00:00", whole=whole)
+        assert [s.rsplit("/", 1)[-1].rsplit("-", 1)[0] for s in SCRATCH[before:]] == ["report-entries"]
+        for _ in range(50):
+            if not (left := _shuffle_files(spark) - files):
+                break
+            time.sleep(0.2)
+        assert not left
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+        assert plan.count("Exchange ") == 1 and "partial_" in plan[plan.index("Exchange "):] and "Window" not in plan
+    assert report(spark, rows) == report(spark, rows, whole=50)
+
+
+def test_entries_alike_but_for_their_outcome(spark):
+    """Entries of one directory, time and size stand in some order, but all numbers and lines agree, in one task or in ranges."""
+    rows = [fact(5, f"g{i % 2}", "/same", i % 3 == 0, exitcode=i % 2 if i % 3 else None, exc="word " * 30 if i % 5 == 4 else None,
+                 up=i % 2 == 0 if i % 3 == 0 else None) for i in range(60)]
+    for options in ({}, {"whole": 10}):
+        got = report(spark, rows, **options)[5]
+        details = got[got.index(f"{sym('details')} Details"):]
+        assert [x.split("]")[0].strip(" [") for x in details if "/60] [g" in x] == [f"{i}/60" for i in range(1, 61)]
+        assert [x.split("]")[0].strip(" [") for x in details if "/20] " in x] == [f"{i}/20" for i in range(1, 21)]
+        mapped = details[7:7 + 64]
+        assert mapped == [x for g in ("g0", "g1") for x in ["", f"        Group [{g}]:"] + [f"            {sym('directory')} /same"] * 30]
+
+
+def test_entries_spread_by_run(spark, tmp_path):
+    """Tables that are spread by run before their join give the same entries, and windows over runs shuffle them no more."""
+    from pyspark.sql import Window
+
+    from opslog.functions import fmt
+    from opslog.sources import bindings as B
+    ship_package(spark)
+    day = lambda i: T0 + td(days=i)
+    items = [(None if i == 3 else i // 4, i, 10.5 + i, "NRA"[i % 3], "OF"[i % 2], None if i == 5 else day(i)) for i in range(60)] + [(2, 1, None, None, None, day(1))] * 2
+    orders = [(i, f"{i % 5}-P", day(i)) for i in range(14)] + [(4, "again", day(0)), (None, "none", day(0))]
+    spark.createDataFrame(items, "l_orderkey long, l_suppkey long, l_extendedprice double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz") \
+        .write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame(orders, "o_orderkey long, o_orderpriority string, o_orderdate timestamp_ntz").write.parquet(f"{tmp_path}/orders.parquet")
+    spread = B.entries(spark, str(tmp_path), tasks=5, more={"exc_lines": fmt.wrap("exc")})
+    plain = B.entries(spark, str(tmp_path)).withColumn("exc_lines", fmt.wrap("exc"))
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(plain) == rows(spread) and len(rows(plain)) == 61
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ranked = spread.withColumn("n", F.row_number().over(Window.partitionBy("run_id", "grp").orderBy("directory")))
+        assert ranked._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
